@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import decontamination_digest, find_benchmark_spans
+from .html_text import extract_main_text
+from .near_dup import near_duplicates
 from .packing import pack
 from .quality_rules import judge_quality
 from .token_counts import count_tokens
@@ -21,6 +23,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination_digest(find_benchmark_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
 
@@ -33,6 +39,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=1, capacity=2048)
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), threshold=75)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -44,9 +54,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_html_extraction": op2_html_extraction,
     "op3_token_files": op3_token_files,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
+    "op7_near_dedup": op7_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
 }
