@@ -187,7 +187,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     for i, x in enumerate(nodes):
         row = out[i]
         chars, tags = x.chars, x.tags
-        row[:12] = (x.depth, min(chars, 5000), chars / total, x.linked / (chars or 1), chars / (tags + 1), x.own, x.paragraphs, x.stops / (chars or 1), x.inputs, len(x.children), i / n, tags)
+        row[:12] = (x.depth, min(chars, 1000), chars / total, x.linked / (chars or 1), min(chars / (tags + 1), 500), min(x.own, 500), min(x.paragraphs, 20), x.stops / (chars or 1), x.inputs, min(len(x.children), 50), i / n, min(tags, 200))
         row[NUMBERS + TAG_NUMBER.get(x.tag, len(TAGS) - 1)] = 1
         for t in x.tokens:
             k = TOKEN_NUMBER.get(t)
@@ -197,7 +197,7 @@ def features(nodes: list[Node]) -> np.ndarray:
             continue
         up = nodes[x.parent]
         siblings = up.children
-        row[12:16] = (len(siblings), chars / (up.chars or 1), up.linked / (up.chars or 1), up.paragraphs)
+        row[12:16] = (min(len(siblings), 50), chars / (up.chars or 1), up.linked / (up.chars or 1), min(up.paragraphs, 20))
         row[at_parent + TAG_NUMBER.get(up.tag, len(TAGS) - 1)] = 1
         above = out[x.parent]
         row[at_above:at_tokens] = above[at_above:at_tokens]
@@ -213,8 +213,8 @@ def features(nodes: list[Node]) -> np.ndarray:
             most, mean = max(size), sum(size) / len(size)
             for j, k in enumerate(kids):
                 before, after = (size[j - 1] if j else -1), (size[j + 1] if j + 1 < len(kids) else -1)
-                out[k, 16:22] = (j, j / len(kids), alike[tag[j]], before, after, size[j] / (most or 1))
-                out[k, 22:26] = (mean, nodes[kids[j - 1]].linked / (before or 1) if j else -1, nodes[kids[j + 1]].linked / (after or 1) if after >= 0 else -1, j == len(kids) - 1)
+                out[k, 16:22] = (min(j, 50), j / len(kids), min(alike[tag[j]], 50), min(before, 1000), min(after, 1000), size[j] / (most or 1))
+                out[k, 22:26] = (min(mean, 1000), nodes[kids[j - 1]].linked / (before or 1) if j else -1, nodes[kids[j + 1]].linked / (after or 1) if after >= 0 else -1, j == len(kids) - 1)
     return out
 
 
@@ -309,9 +309,9 @@ class PageMaker:
     def content(self) -> str:
         rng = self.rng
         out = [f"<h1>{self.words(1, 10)}</h1>"] * (rng.random() < 0.8)
-        for _ in range(rng.choice((0, 1, 1, 2, 3, 6, 15, 40))):
+        for _ in range(rng.choice((0, 0, 1, 1, 2, 3, 6, 15, 40))):
             roll = rng.random()
-            p = f"<p>{rng.choice(('', '<b>', '<i>x</i> '))}{self.words(1, 70)}{rng.choice(('', '<br>', '</p>', '</p>'))}"
+            p = f"<p>{rng.choice(('', '<b>', '<i>x</i> '))}{self.words(1, rng.choice((5, 40, 70, 300)))}{rng.choice(('', '<br>', '</p>', '</p>'))}"
             if roll < 0.75:
                 out.append(p)
             elif roll < 0.8:
@@ -346,8 +346,11 @@ class PageMaker:
         for _ in range(rng.choice((0, 0, 0, 1, 2))):
             body = f"<{rng.choice(('div', 'main', 'section', 'div'))}{self.mark('')}>{body}</div>"
         pick = lambda n: [self.boilerplate(*rng.choice(BOILERPLATE)) for _ in range(n)]
-        before = [self.boilerplate(*BOILERPLATE[0])] * (rng.random() < 0.7) + pick(rng.randint(0, 3))
-        after = pick(rng.randint(0, 3)) + [self.boilerplate(*BOILERPLATE[2])] * (rng.random() < 0.7)
+        bare = rng.random() < 0.15
+        before = [] if bare else [self.boilerplate(*BOILERPLATE[0])] * (rng.random() < 0.7) + pick(rng.randint(0, 3))
+        after = [] if bare else pick(rng.randint(0, 3)) + [self.boilerplate(*BOILERPLATE[2])] * (rng.random() < 0.7)
+        if rng.random() < 0.25:
+            return labelled(rng.choice(("<body>", "", "<html><body>")) + "".join(before) + body + "".join(after))
         page = f"<!DOCTYPE html><html><head><title>{self.words(1, 6)}</title><style>p{{}}</style></head><body>{''.join(before)}{body}{''.join(after)}</body></html>"
         return labelled(page)
 
