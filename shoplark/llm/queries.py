@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import format_chats
 from .common import table
 from .decontaminate import decontamination_digest, find_benchmark_spans
 from .html_text import extract_main_text
@@ -52,6 +53,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), rules, default="allow")
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_html_extraction": op2_html_extraction,
@@ -61,6 +66,7 @@ QUERIES = {
     "op7_near_dedup": op7_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
