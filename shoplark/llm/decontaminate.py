@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import text_slices
 
@@ -103,9 +104,9 @@ _built: dict[int, Matcher] = {}
 
 
 def find_benchmark_spans(
-    docs: DataFrame, benchmark: DataFrame, *, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", item_bytes: int = ITEM_BYTES, keep_text: bool = False
+    docs: DataFrame, benchmark: DataFrame, *, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", item_bytes: int = ITEM_BYTES, carry: bool = False
 ) -> DataFrame:
-    """doc_id, n_words, spans (word ranges that items cover) and items (ids as strings) of every document.
+    """doc_id, n_words, spans (word ranges that items cover) and items (ids as strings) of every document; carry adds the whole document as a struct named row.
 
     The benchmark is collected in blocks of item_bytes, each of which is one pass of a narrow operator; spans and
     items of the passes are united, so the result is the same for any number of blocks.
@@ -115,8 +116,9 @@ def find_benchmark_spans(
     total = items.agg(F.coalesce(F.sum(F.length("text") + 32), F.lit(0))).first()[0]
     blocks = max(1, -(-int(total) // item_bytes))
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.cast("binary").alias("text"), F.array().cast("array<bigint>").alias("bounds"), F.array().cast("array<string>").alias("items"))
-    schema = "doc_id long, text binary, bounds array<bigint>, items array<string>, n_words long"
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.cast("binary").alias("text"), F.array().cast("array<bigint>").alias("bounds"), F.array().cast("array<string>").alias("items"), *[F.struct("*").alias("row")] * carry)
+    names = ["doc_id", "text", "bounds", "items", *["row"] * carry]
+    schema = T.StructType([*rows.schema, T.StructField("n_words", T.LongType())])
     for block in range(blocks):
         some = items if blocks == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
         sent = spark.sparkContext.broadcast([(r.id, bytes(r.text)) for r in some.toLocalIterator()])
@@ -135,15 +137,16 @@ def find_benchmark_spans(
                     bounds.append(_united([*zip(b[::2], b[1::2]), *spans]) if b else [y for s in spans for y in s])
                     found.append(sorted(items.union(x)))
                     counts.append(len(words))
-                text = rows.column("text") if keep_text or not last else pa.nulls(len(rows), pa.binary())
+                text = pa.nulls(len(rows), pa.binary()) if last else rows.column("text")
+                whole = [rows.column("row")] if carry else []
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), text, pa.array(bounds, pa.list_(pa.int64())), pa.array(found, pa.list_(pa.string())), pa.array(counts, pa.int64())], names=["doc_id", "text", "bounds", "items", "n_words"]
+                    [rows.column("doc_id"), text, pa.array(bounds, pa.list_(pa.int64())), pa.array(found, pa.list_(pa.string())), *whole, pa.array(counts, pa.int64())], names=[*names, "n_words"]
                 )
 
-        rows = rows.select("doc_id", "text", "bounds", "items").mapInArrow(step, schema)
+        rows = rows.select(*names).mapInArrow(step, schema)
     spans = F.transform(F.sequence(F.lit(0), F.expr("cast(size(bounds) / 2 as int) - 1")), lambda i: F.struct(F.get("bounds", i * 2).alias("begin"), F.get("bounds", i * 2 + 1).alias("end")))
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
-    return rows.select("doc_id", "n_words", F.when(F.size("bounds") > 0, spans).otherwise(none).alias("spans"), "items", *["text"] * keep_text)
+    return rows.select("doc_id", "n_words", F.when(F.size("bounds") > 0, spans).otherwise(none).alias("spans"), "items", *["row"] * carry)
 
 
 def _united(spans: list[tuple[int, int]]) -> list[int]:

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Interned, mix64, ragged, text_slices
 from .tokens import ODD, PIECES, WIDE
@@ -146,9 +147,9 @@ UNICODE_SPACE = re.compile(f"[{WIDE}]")
 
 
 def judge_quality(
-    docs: DataFrame, model: str, *, bands: dict[str, Band] | None = None, script_bands: dict[str, Band] | None = None, least_words: int = 50, most_repeated: int = 50, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang"
+    docs: DataFrame, model: str, *, bands: dict[str, Band] | None = None, script_bands: dict[str, Band] | None = None, least_words: int = 50, most_repeated: int = 50, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", carry: bool = False
 ) -> DataFrame:
-    """Counts, fertility and verdict of every document; no shuffle."""
+    """Counts, fertility and verdict of every document; carry adds the whole document as a struct named row. No shuffle."""
     bands, script_bands = bands or BANDS, script_bands or SCRIPT_BANDS
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,8 +177,10 @@ def judge_quality(
                 for column, value in zip(out, (doc_id, n, chars, len(SYMBOLS.findall(text)), repeated_lines(text), repeats, count, per_token, share, bits, failed, not failed and fine)):
                     column.append(value)
             types = [pa.int64()] * 7 + [pa.float64()] * 3 + [pa.bool_()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types)], names=list(NAMES))
+            whole = [rows.column("row")] if carry else []
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(out, types)), *whole], names=schema.fieldNames())
 
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), lang.alias("lang"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(step, SCHEMA)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), lang.alias("lang"), F.col(text_col).cast("string").alias("text"), *[F.struct("*").alias("row")] * carry)
+    schema = T.StructType([*T.StructType.fromDDL(SCHEMA), *[T.StructField("row", docs.schema)] * carry])
+    return rows.mapInArrow(step, schema)

@@ -10,6 +10,7 @@ from .decontaminate import decontamination_digest, find_benchmark_spans
 from .html_text import extract_main_text
 from .near_dup import near_duplicates
 from .packing import pack
+from .quality_classifier import classify, train_classifier
 from .quality_rules import judge_quality
 from .token_counts import count_tokens
 from .token_files import token_file_digest
@@ -40,6 +41,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=1, capacity=2048)
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return classify(docs, train_classifier(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), threshold=75)
 
@@ -63,6 +69,7 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_near_dedup": op7_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
