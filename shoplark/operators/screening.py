@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import ContractError, need_features
@@ -48,7 +48,12 @@ def correlations(train: DataFrame, names: list[str]) -> DataFrame:
     if not pairs:
         return train.sparkSession.createDataFrame([], "feature_a string, feature_b string, r double")
     x = {c: F.col(c).cast("double") for c in names}
-    one = train.agg(*(F.corr(x[a], x[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)))
+
+    def pearson(a: Column, b: Column) -> Column:
+        a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+        return F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(a)) * F.sqrt(F.var_pop(b)))
+
+    one = train.agg(*(pearson(x[a], x[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)))
     safe = lambda c: F.when(c.isNull() | F.isnan(c), 0.0).otherwise(c)
     rows = F.array(*(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), safe(F.col(f"r{i}")).alias("r")) for i, (a, b) in enumerate(pairs)))
     return one.select(F.explode(rows).alias("p")).select("p.*")

@@ -185,7 +185,7 @@ ORACLES = {
     "ix4_best_threshold": sql("tg", f"SELECT * FROM (SELECT threshold, tp, fp, fn, tn, {_RATES} FROM tg) ORDER BY f1 DESC, threshold LIMIT 1"),
     "ix5_worst_errors": sql("sc", "SELECT user_id, item_id, label, round(score, 6) AS score, error_type FROM (SELECT *, 'false_positive' AS error_type, row_number() OVER (ORDER BY score DESC, user_id, item_id) AS k FROM sc WHERE score >= 0.5 AND label = 0 UNION ALL SELECT *, 'false_negative', row_number() OVER (ORDER BY score, user_id, item_id) FROM sc WHERE score < 0.5 AND label = 1) WHERE k <= 25"),
     "ix5_error_summary": sql("sc", "SELECT CASE WHEN score >= 0.5 THEN CASE WHEN label = 1 THEN 'true_positive' ELSE 'false_positive' END WHEN label = 1 THEN 'false_negative' ELSE 'true_negative' END AS error_type, count(*) AS sample_count, round(avg(score), 6) AS mean_score FROM sc GROUP BY 1"),
-    "ix6_segments": sql("sc", f"SELECT segment, sample_count, positive_count, tp, fp, fn, tn, {_RATES} FROM (SELECT segment, count(*) AS sample_count, count(*) FILTER (WHERE label = 1) AS positive_count, {_CELLS.format(t='0.5')} FROM (SELECT *, unnest(list_filter(['all', CASE WHEN user_event_count <= 1 THEN 'cold_start_user' ELSE 'non_cold_start_user' END, CASE WHEN item_total_count <= 1 THEN 'long_tail_item' ELSE 'non_long_tail_item' END, CASE WHEN user_event_count <= 1 AND item_total_count <= 1 THEN 'cold_start_user_and_long_tail_item' END], x -> x IS NOT NULL)) AS segment FROM sc) GROUP BY 1)"),
+    "ix6_segments": sql("sc", f"SELECT segment, sample_count, positive_count, tp, fp, fn, tn, {_RATES} FROM (SELECT segment, count(*) AS sample_count, count(*) FILTER (WHERE label = 1) AS positive_count, {_CELLS.format(t='0.5')} FROM (SELECT *, unnest(list_filter(['all', CASE WHEN user_event_count <= 1 THEN 'cold_start_user' ELSE 'non_cold_start_user' END, CASE WHEN item_total_count <= 1 THEN 'long_tail_item' ELSE 'non_long_tail_item' END, CASE WHEN user_event_count <= 1 AND item_total_count <= 1 THEN 'cold_start_user_and_long_tail_item' END], lambda x: x IS NOT NULL)) AS segment FROM sc) GROUP BY 1)"),
     "m13_folds": sql("train", "SELECT CAST((k - 1) % 5 AS INT) AS fold, label, count(*) AS rows, CAST(sum(user_id) AS BIGINT) AS user_ids FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', '42', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), CAST(category_id AS VARCHAR)))) AS k FROM train) GROUP BY 1, 2"),
     "f10_chance": "SELECT DISTINCT user_id, round(CAST(('0x' || substr(md5('42|' || CAST(user_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0, 9) AS drawn FROM events",
 }
