@@ -19,18 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Interned, text_slices
-from .tokens import PIECES, cut_spaced, piece_text
-
-
-def byte_symbols() -> list[str]:
-    """The characters by which byte-level vocabularies write the 256 bytes: printable ones themselves, others from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    names, extra = {b: chr(b) for b in plain}, 0
-    for b in range(256):
-        if b not in names:
-            names[b] = chr(0x100 + extra)
-            extra += 1
-    return [names[b] for b in range(256)]
+from .tokens import BYTES, PIECES, cut_spaced, piece_text
 
 
 class MergeCounter:
@@ -51,7 +40,7 @@ class MergeCounter:
         self.special = re.compile("|".join(re.escape(x["content"]) for x in sorted(added, key=lambda x: -len(x["content"])))) if added else None
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         vocab = model["vocab"]
-        self.byte_ids = np.array([vocab[x] for x in byte_symbols()], np.int64)
+        self.byte_ids = np.array([vocab[x] for x in BYTES], np.int64)
         self.size = max(vocab.values()) + 1
         pairs = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
         left, right = (np.array([vocab[x[i]] for x in pairs], np.int64) for i in (0, 1))

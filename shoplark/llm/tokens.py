@@ -20,14 +20,28 @@ from .common import Interned, ragged
 #: Unicode White_Space, which is what \s means to the tokenizers (Python's own \s also has U+001C to U+001F).
 WIDE = "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 SPACE = f"\t-\r {WIDE}"
-#: Any white space besides single blanks and newlines between other characters.
-UNEVEN = re.compile(f"[\t\x0b-\r{WIDE}]|[ \n][ \n]|^[ \n]|[ \n]\\Z")
 COARSE = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: Latin letters that are NFC as they stand and lower-cased alike everywhere, then ASCII marks other than "'".
+SIMPLE = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f]+)([!-&(-/:-@\\[-`{-~]*)")
 #: Pieces kept by one worker; beyond, it begins anew, so memory stays bounded.
 PIECES = 600_000
 RAW = "\r"
 
 
+def byte_symbols() -> list[str]:
+    """The characters by which byte-level vocabularies write the 256 bytes: printable ones themselves, others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    names, extra = {b: chr(b) for b in plain}, 0
+    for b in range(256):
+        if b not in names:
+            names[b] = chr(0x100 + extra)
+            extra += 1
+    return [names[b] for b in range(256)]
+
+
+BYTES = byte_symbols()
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -41,9 +55,10 @@ def cut_spaced(text: str) -> list[str]:
     """
     if not text:
         return []
-    if UNEVEN.search(text):
+    pieces, words = text.replace("\n", " \n").split(" "), text.split()
+    # Words parted by single blanks and newlines, none at the ends; anything else is cut by the pattern.
+    if len(pieces) != len(words) or sum(map(len, words)) + len(words) - 1 != len(text):
         return [RAW + x for x in COARSE.findall(text)]
-    pieces = text.replace("\n", " \n").split(" ")
     pieces[0] = RAW + pieces[0]
     return pieces
 
@@ -67,6 +82,7 @@ class Encoder:
         plain = [x for x in added if not (x["normalized"] or x["lstrip"] or x["rstrip"] or x["single_word"])]
         self.mark = plain[-1] if plain and len(plain) == len(added) else None
         self.kind = self._kind(spec) if self.mark else "whole"
+        self.model = self.library.model
         self._reset()
 
     @staticmethod
@@ -84,26 +100,59 @@ class Encoder:
     def _reset(self) -> None:
         self.memo = Interned()
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.int32)
+        self.flat, self.uses = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Drop the pieces that were used once, as most are; if that does not free half of the places, all."""
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > PIECES // 2:
+            return self._reset()
+        names = list(self.memo)
+        self.memo = Interned()
+        self.memo.update((names[i], n) for n, i in enumerate(keep.tolist()))
+        self.flat = self.flat[ragged(self.start[keep], self.length[keep])]
+        self.length = self.length[keep]
+        self.start = np.cumsum(self.length) - self.length
+        self.uses = np.zeros(len(keep), np.int64)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _simple(self, piece: str, known: dict[str, list[int]]) -> list[int] | None:
+        """Ids of a piece of a "words" tokenizer that is Latin letters with ASCII marks after them: its pre-tokens are
+        plain, so they go to the library's model as they are, each distinct one once."""
+        m = SIMPLE.fullmatch(piece)
+        if m is None:
+            return None
+        ids: list[int] = []
+        for part in (m[1].lower(), m[2]):
+            if part:
+                found = known.get(part)
+                if found is None:
+                    known[part] = found = [t.id for t in self.model.tokenize("".join([BYTES[x] for x in part.encode()]))]
+                ids += found
+        return ids
+
     def _fill(self) -> None:
-        """Encode the pending pieces; many at once, held apart by a special token."""
+        """Encode the pending pieces; those that are not simple many at once, held apart by a special token."""
         pending = self.memo.pending
         if not pending:
             return
-        texts = list(map(piece_text, pending)) if self.kind == "spaced" else pending
-        parts, lengths = [], []
-        for i in range(0, len(texts), 20_000):
-            some = texts[i : i + 20_000]
-            for ids in self._library([self.mark["content"].join(some[j : j + 100]) + self.mark["content"] for j in range(0, len(some), 100)]):
-                ids = np.array(ids, np.int32)
-                ends = np.flatnonzero(ids == self.mark["id"])
-                lengths.append(np.diff(ends, prepend=-1) - 1)
-                parts.append(np.delete(ids, ends))
-        self._append(np.concatenate(parts), np.concatenate(lengths))
+        known: dict[str, list[int]] = {}
+        found = [self._simple(x, known) for x in pending] if self.kind == "words" else [None] * len(pending)
+        others = [i for i, x in enumerate(found) if x is None]
+        texts = [piece_text(pending[i]) if self.kind == "spaced" else pending[i] for i in others]
+        for i in range(0, len(texts), 10_000):
+            some = texts[i : i + 10_000]
+            joined = [self.mark["content"].join(some[j : j + 100]) + self.mark["content"] for j in range(0, len(some), 100)]
+            j = i
+            for ids in self._library(joined):
+                begin = 0
+                for end in np.flatnonzero(np.array(ids) == self.mark["id"]).tolist():
+                    found[others[j]] = ids[begin:end]
+                    begin, j = end + 1, j + 1
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        self._append(np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths)
         pending.clear()
 
     def _append(self, ids: np.ndarray, lengths: np.ndarray) -> None:
@@ -111,11 +160,12 @@ class Encoder:
         self.start = np.concatenate([self.start, begin + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([self.length, lengths])
         self.flat = np.concatenate([self.flat, ids])
+        self.uses = np.concatenate([self.uses, np.zeros(len(lengths), np.int64)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each text)."""
         if len(self.memo) > PIECES:
-            self._reset()
+            self._forget()
         whole = [i for i, t in enumerate(texts) if self.kind == "whole" or any(s in t for s in self.special)]
         aside = dict(zip(whole, self._library([texts[i] for i in whole]))) if whole else {}
         cut = cut_spaced if self.kind == "spaced" else self._words
@@ -123,6 +173,7 @@ class Encoder:
         counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
         at = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(pieces)), np.int64, int(counts.sum()))
         self._fill()
+        self.uses += np.bincount(at, minlength=len(self.uses))
         ids = self.flat[ragged(self.start[at], self.length[at])]
         ends = np.concatenate([[0], np.cumsum(self.length[at])])[np.concatenate([[0], np.cumsum(counts)])]
         sizes = np.diff(ends)

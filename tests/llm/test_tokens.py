@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from shoplark.llm import tokens
 from shoplark.llm.common import shared_path
 from shoplark.llm.packing import differencing, pack, windows
 from shoplark.llm.token_counts import MergeCounter, count_tokens
@@ -40,6 +41,16 @@ def test_pieces_give_the_librarys_ids(name):
         assert ids.tolist() == [y for x in want for y in x]
 
 
+def test_forgetting_pieces_changes_nothing(monkeypatch):
+    lib, own = library(WORD), Encoder(public_tokenizers.path(WORD))
+    monkeypatch.setattr(tokens, "PIECES", 40)
+    rng = random.Random(6)
+    for _ in range(30):
+        some = [" ".join(rng.choice(("a", "bc", f"w{rng.randint(0, 500)}", "x.", "d\xe9f")) for _ in range(30)) for _ in range(3)]
+        ids, sizes = own.encode(some)
+        assert ids.tolist() == [y for t in some for y in lib.encode(t, add_special_tokens=False).ids]
+
+
 def test_rank_synchronous_merging_counts_as_the_library_does():
     own, lib = MergeCounter(public_tokenizers.path(BYTE)), library(BYTE)
     rng = random.Random(3)
