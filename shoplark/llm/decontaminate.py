@@ -13,6 +13,7 @@ columns of both tables are read.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -100,7 +101,8 @@ class Matcher:
         return spans, items
 
 
-_built: dict[int, Matcher] = {}
+#: The worker's last tables, by the name of the block; later tasks of a pass find them here.
+_built: dict[str, Matcher] = {}
 
 
 def find_benchmark_spans(
@@ -122,13 +124,13 @@ def find_benchmark_spans(
     for block in range(blocks):
         some = items if blocks == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
         sent = spark.sparkContext.broadcast([(r.id, bytes(r.text)) for r in some.toLocalIterator()])
-        last = block == blocks - 1
+        last, name = block == blocks - 1, uuid.uuid4().hex
 
-        def step(batches: Iterator[pa.RecordBatch], sent=sent, last=last) -> Iterator[pa.RecordBatch]:
-            if id(sent.value) not in _built:
+        def step(batches: Iterator[pa.RecordBatch], sent=sent, last=last, name=name) -> Iterator[pa.RecordBatch]:
+            if name not in _built:
                 _built.clear()
-                _built[id(sent.value)] = Matcher(sent.value, window)
-            matcher = _built[id(sent.value)]
+                _built[name] = Matcher(sent.value, window)
+            matcher = _built[name]
             for rows, texts in text_slices(batches, "text"):
                 bounds, found, counts = [], [], []
                 for t, b, x in zip(texts, rows.column("bounds").to_pylist(), rows.column("items").to_pylist()):
