@@ -54,7 +54,7 @@ PARTS = {
     "sc": "sc AS (SELECT user_id, item_id, user_event_count, item_total_count, label, CAST((user_event_count * 7 + item_total_count * 3 + user_id + item_id * 5) % 97 AS DOUBLE) / 97.0 AS score FROM train)",
     "g": "g AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM sc GROUP BY score)",
     "cu": "cu AS (SELECT score, pos, neg, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp, sum(pos) OVER () AS p, sum(neg) OVER () AS n FROM g)",
-    "grid": "grid AS (SELECT round(i * 0.05, 2) AS threshold FROM range(1, 20) t(i))",
+    "grid": "grid AS (SELECT CAST(round(i * 0.05, 2) AS DOUBLE) AS threshold FROM range(1, 20) t(i))",
     "tg": "tg AS (SELECT threshold, count(*) FILTER (WHERE score >= threshold AND label = 1) AS tp, count(*) FILTER (WHERE score >= threshold AND label = 0) AS fp, count(*) FILTER (WHERE score < threshold AND label = 1) AS fn, count(*) FILTER (WHERE score < threshold AND label = 0) AS tn FROM grid, sc GROUP BY threshold)",
 }
 _NAMES = ("pv", "fav", "cart", "buy")
@@ -175,7 +175,7 @@ ORACLES = {
     "pp4_preprocessed": sql("train", "SELECT l.user_id, l.item_id, l.label, " + ", ".join(map(_scaled, _NUMERIC)) + ", " + ", ".join(f"CAST(CASE WHEN l.{c} IN (SELECT {c} FROM train) THEN {_code(c)} ELSE -1 END AS INT) AS {c}_code" for c in ("last_behavior_type", "user_activity_level")) + " FROM lab l, (SELECT " + ", ".join(f"avg({c}) AS {c}_mean, sqrt(var_pop({c}) * count({c}) / count(*)) AS {c}_scale" for c in _NUMERIC) + " FROM train) m WHERE l.dataset_split = 'validation'"),
     "fs1_column_statistics": sql("train", " UNION ALL ".join(map(_stat, _NUMERIC))),
     "fs1_correlations": sql("train", " UNION ALL ".join(_corr(a, b) for a, b in _pairs)),
-    "ci2_smote": sql("train", "SELECT label, false AS is_synthetic, count(*) AS rows, CAST(0 AS BIGINT) AS without_ids FROM train GROUP BY label UNION ALL SELECT 1, true, sum(1 - label) - sum(label), sum(1 - label) - sum(label) FROM train"),
+    "ci2_smote": sql("train", "SELECT label, false AS is_synthetic, count(*) AS rows, CAST(0 AS BIGINT) AS without_ids FROM train GROUP BY label UNION ALL SELECT 1, true, CAST(sum(1 - 2 * label) AS BIGINT), CAST(sum(1 - 2 * label) AS BIGINT) FROM train"),
     "ci3_undersampled": sql("train", "SELECT user_id, item_id, category_id, label, false AS is_synthetic FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', '42', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), CAST(category_id AS VARCHAR)))) AS k FROM train) WHERE label = 1 OR k <= (SELECT sum(label) FROM train)"),
     "ci4_class_weights": sql("train", "SELECT label, round((SELECT count(*) FROM train) / (2.0 * count(*)), 6) AS weight FROM train GROUP BY label"),
     "ev1_ranking_metrics": sql("cu", "SELECT round(sum(neg * (tp - pos / 2)) / max(p * n), 6) AS roc_auc, round(sum(pos * tp / (tp + fp)) / max(p), 6) AS average_precision, (SELECT round(-avg(label * ln(least(greatest(score, 1e-15), 1 - 1e-15)) + (1 - label) * ln(1 - least(greatest(score, 1e-15), 1 - 1e-15))), 6) FROM sc) AS log_loss, (SELECT round(avg(CASE WHEN score >= 0.5 THEN 1.0 ELSE 0.0 END), 6) FROM sc) AS positive_prediction_ratio, (SELECT count(*) FROM sc) AS sample_count FROM cu"),
