@@ -8,11 +8,12 @@ Documents are linked if 100 * intersection >= 75 * union.
    its smallest hash, and a 128-bit fingerprint of the whole set. Documents with equal sets are one class.
 2. 32 bands of 4 registers are the keys under which classes meet. At the threshold a pair shares no band with a
    probability of (1 - 0.75**4)**32, 5e-6. Bands without any hash are no keys.
-3. Star rounds: in each key's group one class leads; every other class of another component is estimated against
-   its leaders (collision-corrected) and the best is confirmed on full sets. A group of n gives n pairs at most.
-4. Block rounds give what stars may miss: in groups that still hold several components, pairs of different
-   components are estimated in blocks, so no group is in one task and no pair within a component is made. The
-   pairs with the best estimates are confirmed first, all others afterwards; none is dropped.
+3. Within each key's group a breadth-first search over collision-corrected estimates links classes into candidate
+   clusters; it emits a tree, so a group of n gives less than n rows, and it compares a class only with those that
+   are not yet reached. Groups beyond a size are searched in pairs of blocks.
+4. The full sets of a cluster's classes meet once (large clusters again in pairs of blocks), and the same search
+   over confirmed links gives the trees whose components are the result. Whatever pair of classes is not in one
+   tree was compared, so no link between different texts is lost; no pairs are made that are not links.
 
 Estimates only set aside pairs whose estimate is more than four standard errors below the threshold.
 
@@ -22,12 +23,12 @@ share a doc_id are one node. An empty table gives no rows. Only the id and text
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, mix64, stored, text_slices
@@ -38,11 +39,8 @@ BUCKET_BITS, MANTISSA_BITS = 7, 10
 NO_HASH = 0xFFFF
 #: Words that one worker keeps the hashes of.
 WORDS = 400_000
-#: Rows of a group that are compared with one another in one block; set pairs of one leader that are confirmed together.
-BLOCK, DEGREE = 2048, 256
-#: How many partners of one class in one other component each block round confirms at most; the last has no limit.
-PARTNERS = (4, 64, None)
-STARS = 3
+#: Classes of one key's group that are searched together, and bytes of full sets; beyond, blocks meet in pairs.
+BLOCK, SET_BYTES = 4096, 8 << 20
 
 
 class WordHashes(dict):
@@ -102,25 +100,84 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Jaccard estimates of register rows, and their standard errors at 0.75.
 
     Two different hashes fall on one register value with a probability of about 2**-MANTISSA_BITS / 3 (a third for
-    equal leading-zero counts); the expected number of such collisions is taken off.
+    equal leading-zero counts); the expected number of such collisions is taken off. Registers are a sample of the
+    union without replacement, so the error shrinks as they come to hold all of it.
     """
     some = (a != NO_HASH) | (b != NO_HASH)
     both = (a != NO_HASH) & (b != NO_HASH)
     n = np.maximum(some.sum(-1), 1)
     collisions = both.sum(-1) * (2.0**-MANTISSA_BITS / 3)
     equal = ((a == b) & both).sum(-1)
-    return np.clip((equal - collisions) / np.maximum(n - collisions, 1e-9), 0, 1), np.sqrt(0.75 * 0.25 / n)
+    union = np.maximum((na + nb) / 1.75, n)
+    error = np.sqrt(0.75 * 0.25 / n * (union - n + 0.5) / np.maximum(union - 1, 1))
+    return np.clip((equal - collisions) / np.maximum(n - collisions, 1e-9), 0, 1), error
 
 
-def promising(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """(estimates, which of them may reach the threshold). Sizes alone rule out 100 * smaller < threshold * larger."""
-    value, error = estimate(a, b)
+def promising(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: int) -> np.ndarray:
+    """Which pairs may reach the threshold. Sizes alone rule out 100 * smaller < threshold * larger."""
+    value, error = estimate(a, b, na, nb)
     sizes = 100 * np.minimum(na, nb) >= threshold * np.maximum(na, nb)
-    return value, sizes & (value >= threshold / 100 - 4 * error)
+    return sizes & (value >= threshold / 100 - 4 * error)
+
+
+def search(count: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """(reached from, reached) of a breadth-first search of all components; linked tells which of the others a row is linked to.
+
+    Rows are only compared with those not reached yet. Two rows of different trees were compared: when the earlier
+    one was looked from, the later one was not reached.
+    """
+    unseen = np.arange(count)
+    while len(unseen):
+        queue, unseen = [int(unseen[0])], unseen[1:]
+        while queue and len(unseen):
+            row = queue.pop()
+            hit = linked(row, unseen)
+            if hit.any():
+                found, unseen = unseen[hit], unseen[~hit]
+                yield row, found
+                queue += found.tolist()
+
+
+def groups_of(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key from batches that are sorted by it."""
+    held: list[pa.RecordBatch] = []
+    at = None
+    for batch in batches:
+        keys = np.stack([batch.column(x).to_numpy() for x in key])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a == b:
+                continue
+            now = tuple(keys[:, a].tolist())
+            if now != at and held:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            at = now
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _edges(ids: np.ndarray, found: Iterator[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    a, b = [], []
+    for row, others in found:
+        a.append(np.full(len(others), ids[row]))
+        b.append(ids[others])
+    none = [np.zeros(0, np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a or none)), pa.array(np.concatenate(b or none))], names=["a", "b"])
+
+
+def in_block_pairs(rows: DataFrame, blocks: Column) -> DataFrame:
+    """Each row once for every pair (i, j) of blocks of its group that its own block is in; one block: once."""
+    own = rows.withColumn("blocks", F.greatest(blocks, F.lit(1)).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # Two blocks and more meet as pairs of different ones, which look at both blocks' inner links too.
+    dealt = dealt.where((F.col("blocks") == 1) | (F.col("own") != F.col("other")))
+    return dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("blocks", "own", "other")
 
 
 def _register_rows(column: pa.Array) -> np.ndarray:
@@ -171,43 +228,51 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> Da
     return found.join(ids.select("id"), "id", "left_semi").dropDuplicates(["id", "set"])
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are linked.
+def candidate_edges(active: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """Trees (a, b) of the classes of each key whose estimates may reach the threshold. active has key, id, size."""
+    dealt = in_block_pairs(active, F.ceil(F.col("size") / BLOCK)).select("key", "i", "j", "id")
+    met = dealt.join(classes.select("id", "n", "regs"), "id").select("key", "i", "j", "id", "n", "regs").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
-    Sets of the b meet that of their a in a stream sorted by a; an a with many b is dealt out over several keys.
-    """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stored(full_sets(docs, ids, id_col, text_col), "sets", compression="none")
-    degree = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    dealt = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / DEGREE)).alias("part"))
-    left = dealt.select("a", "part").distinct().join(sets.withColumnRenamed("id", "a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "set")
-    right = dealt.join(sets.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "set")
-    met = left.unionByName(right).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups_of(batches, ["key", "i", "j"]):
+            ids, n, regs = group.column("id").to_numpy(), group.column("n").to_numpy(), _register_rows(group.column("regs").combine_chunks())
+            yield _edges(ids, search(len(ids), lambda row, others: promising(regs[row], regs[others], n[row], n[others], threshold)))
+
+    return map_arrow(met, step, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+
+
+def is_linked(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
+    """Of two sorted sets, exactly."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    if not len(small) or 100 * len(small) < threshold * len(large):
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    inter = int((large[at] == small).sum())
+    return 100 * inter >= threshold * (len(small) + len(large) - inter)
+
+
+def confirmed_edges(docs: DataFrame, clusters: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
+    """Trees (a, b) of confirmed links within clusters (id, comp)."""
+    sets = stored(full_sets(docs, clusters, id_col, text_col).join(clusters, "id"), "sets", compression="none")
+    sizes = sets.groupBy("comp").agg(F.sum(F.length("set")).alias("bytes"))
+    dealt = in_block_pairs(sets.join(sizes, "comp"), F.ceil(F.col("bytes") / SET_BYTES))
+    met = dealt.select("comp", "i", "j", "id", "set").repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, own = None, []
-        for batch in batches:
-            found_a, found_b = [], []
-            for a, part, b, raw in zip(*(batch.column(x).to_pylist() for x in ("a", "part", "b", "set"))):
-                if (a, part) != at:
-                    at, own = (a, part), []
-                other = np.frombuffer(raw, np.uint64)
-                if b is None:
-                    own.append(other)
-                    continue
-                for x in own:
-                    small, large = (x, other) if len(x) <= len(other) else (other, x)
-                    if not len(small) or 100 * len(small) < threshold * len(large):
-                        continue
-                    place = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                    inter = int((large[place] == small).sum())
-                    if 100 * inter >= threshold * (len(small) + len(large) - inter):
-                        found_a.append(a)
-                        found_b.append(b)
-                        break
-            yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
-
-    return map_arrow(met, step, "a long, b long")
+        for group in groups_of(batches, ["comp", "i", "j"]):
+            ids = group.column("id").to_numpy()
+            own = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("set").combine_chunks()]
+            regs, n = np.stack([registers(x) for x in own]), np.array([len(x) for x in own])
+
+            def linked(row: int, others: np.ndarray, own=own, regs=regs, n=n) -> np.ndarray:
+                fit = promising(regs[row], regs[others], n[row], n[others], threshold)
+                for k in np.flatnonzero(fit):
+                    fit[k] = is_linked(own[row], own[others[k]], threshold)
+                return fit
+
+            yield _edges(ids, search(len(ids), linked))
+
+    return map_arrow(met, step, "a long, b long").where("a <> b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -224,83 +289,6 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """Of the pairs (a, b) those that may be linked, with their estimates."""
-    side = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("regs").alias(f"regs_{x}"))
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = _register_rows(batch.column("regs_a")), _register_rows(batch.column("regs_b"))
-            value, fit = promising(a, b, batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), threshold)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(value)], names=["a", "b", "value"]).filter(pa.array(fit))
-
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
-    return map_arrow(joined, step, "a long, b long, value double")
-
-
-def _block_pairs(active: DataFrame, classes: DataFrame, labels: DataFrame | None, threshold: int, most: int | None) -> DataFrame:
-    """Pairs (a, b) of different components in one key's group that may be linked; a row (null, null) if any were left for later."""
-    rows = _with_component(active, labels)
-    mixed = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high").select("key", "size")
-    some = rows.join(mixed, "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = some.select("key", "id", "comp", "own", other).select("key", "id", "comp", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    met = dealt.join(classes.select("id", "n", "regs"), "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-
-    def pairs_of(group: list) -> Iterator[tuple[int | None, int | None]]:
-        ids, comps, own, n, regs, i, j = group
-        for k in range(len(ids)):
-            if i != j and own[k] != i:
-                continue
-            against = np.flatnonzero((comps != comps[k]) & ((own == j) if i != j else (np.arange(len(ids)) > k)))
-            if not len(against):
-                continue
-            value, fit = promising(regs[k], regs[against], n[k], n[against], threshold)
-            chosen = against[fit]
-            if most is not None and len(chosen) > most:
-                order = np.lexsort((-value[fit], comps[chosen]))
-                chosen = chosen[order]
-                first = np.flatnonzero(np.diff(comps[chosen], prepend=comps[chosen[0]] - 1))
-                rank = np.arange(len(chosen)) - np.repeat(first, np.diff(np.append(first, len(chosen))))
-                if (rank >= most).any():
-                    yield None, None
-                chosen = chosen[rank < most]
-            for x in ids[chosen].tolist():
-                yield (min(x, int(ids[k])), max(x, int(ids[k])))
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = [], None
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if held and at is not None:
-                whole = pa.Table.from_batches(held).combine_chunks()
-                get = lambda x: whole.column(x).to_numpy()
-                regs = whole.column("regs").combine_chunks()
-                found = set(pairs_of([get("id"), get("comp"), get("own"), get("n"), _register_rows(regs), at[1], at[2]]))
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
-
-        for batch in batches:
-            keys = np.stack([batch.column(x).to_numpy() for x in ("key", "i", "j")])
-            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                if a == b:
-                    continue
-                now = tuple(keys[:, a].tolist())
-                if now != at:
-                    yield from flush()
-                    held, at = [], now
-                held.append(batch.slice(a, b - a))
-        yield from flush()
-
-    return map_arrow(met.select("key", "i", "j", "id", "comp", "own", "n", "regs"), step, "a long, b long").distinct()
-
-
-def _with_component(active: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return active.withColumn("comp", F.col("id"))
-    return active.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-
-
 def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     rows = stored(sketches(docs, id_col, text_col), "sketches")
@@ -308,39 +296,12 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
     usable = rows.where("doc_id is not null and n_shingles > 0")
     classes = stored(usable.groupBy(*print_of).agg(F.min("doc_id").alias("id"), F.min_by("regs", "doc_id").alias("regs")).withColumnRenamed("n_shingles", "n"), "classes")
     keyed = classes.select("id", F.posexplode("regs")).where("col <> -1").select(F.xxhash64("pos", "col").alias("key"), "id")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-    active = stored(keyed.join(shared, "key"), "keys")
-
-    edges, tested, labels = None, None, None
-
-    def confirmed(pairs: DataFrame) -> int:
-        """Confirms pairs that were not looked at before and brings the components up to date; how many there were."""
-        nonlocal edges, tested, labels
-        new = pairs.select("a", "b")
-        new = stored(new if tested is None else new.join(tested, ["a", "b"], "left_anti"), "pairs")
-        n = new.count()
-        if n:
-            tested = new if tested is None else tested.unionByName(new)
-            found = stored(confirm(docs, new, threshold, id_col, text_col), "links")
-            if not found.isEmpty():
-                edges = found if edges is None else edges.unionByName(found)
-                labels = components(edges)
-        return n
-
-    for turn in range(STARS):
-        members = _with_component(active, labels)
-        lead = F.min(F.struct(F.xxhash64("id", "key", F.lit(turn)).alias("order"), F.col("id").alias("a"), F.col("comp").alias("comp_a")))
-        leaders = members.groupBy("key").agg(lead.alias("lead"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        pairs = members.join(leaders.select("key", "lead.a", "lead.comp_a"), "key").where("comp <> comp_a").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"), F.col("id").alias("of")).distinct()
-        value = _estimated(pairs.select("a", "b").distinct(), classes, threshold)
-        best = pairs.join(value, ["a", "b"]).groupBy("of").agg(F.max_by(F.struct("a", "b"), F.struct("value", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-        if not confirmed(best):
-            break
-    for most in PARTNERS:
-        found = stored(_block_pairs(active, classes, labels, threshold, most), "block-pairs")
-        confirmed(found.where("a is not null"))
-        if not found.where("a is null").limit(1).count():
-            break
+    shared = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    near = stored(candidate_edges(keyed.join(shared, "key"), classes, threshold), "candidates")
+    labels = None
+    if not near.isEmpty():
+        links = stored(confirmed_edges(docs, components(near), threshold, id_col, text_col), "links")
+        labels = None if links.isEmpty() else components(links)
 
     names = classes.select(F.col("set_hi"), F.col("set_lo"), F.col("n").alias("n_shingles"), F.col("id"))
     if labels is not None:

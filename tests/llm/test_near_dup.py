@@ -4,7 +4,7 @@ import re
 import numpy as np
 
 from shoplark.llm import near_dup
-from shoplark.llm.near_dup import estimate, near_duplicates, registers, shingle_sets
+from shoplark.llm.near_dup import estimate, near_duplicates, registers, search, shingle_sets
 
 from .cases import documents, texts
 
@@ -50,15 +50,28 @@ def test_links_equal_brute_force(spark):
     assert sum(not r[3] for r in got) > 150
 
 
-def test_small_blocks_and_limits_lose_nothing(spark, monkeypatch):
+def test_small_blocks_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "BLOCK", 3)
-    monkeypatch.setattr(near_dup, "DEGREE", 2)
-    monkeypatch.setattr(near_dup, "STARS", 0)
-    monkeypatch.setattr(near_dup, "PARTNERS", (1, 2, None))
+    monkeypatch.setattr(near_dup, "SET_BYTES", 600)
     values = near_copies(random.Random(4), 12, 9)
     assert sorted(map(tuple, near_duplicates(documents(spark, values)).collect())) == brute(values)
 
 
+def test_search_compares_what_it_parts():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 30):
+        for density in (0.02, 0.1, 0.5):
+            matrix = np.triu(rng.random((n, n)) < density, 1)
+            matrix |= matrix.T
+            comp = np.arange(n)
+            for a, others in search(n, lambda i, x: matrix[i, x]):
+                for b in others:
+                    assert matrix[a, b]
+                    comp[comp == comp[b]] = comp[a]
+            a, b = np.nonzero(matrix)
+            assert (comp[a] == comp[b]).all()
+
+
 def test_null_ids_repeats_and_empty_table(spark):
     text = "one two three four five six seven eight"
     rows = spark.createDataFrame([(None, text), (5, text), (5, text), (7, text + " nine"), (8, None), (9, "")], "doc_id long, text string")
@@ -74,6 +87,6 @@ def test_estimates_are_near_the_truth():
         common = rng.integers(0, 2**63, int(n * truth), dtype=np.uint64)
         own = [np.unique(np.concatenate([common, rng.integers(0, 2**63, (n - len(common)) // 2, dtype=np.uint64)])) for _ in range(2)]
         spread = [np.sort(near_dup.mix64(x)) for x in own]
-        value, error = estimate(*(registers(x)[None] for x in spread))
+        value, error = estimate(*(registers(x)[None] for x in spread), *map(len, spread))
         assert abs(value[0] - truth) < 4 * error[0] + 0.01
     assert [len(x) for x in shingle_sets([b"", b"a", b"a b c d e", b"a b c d e f", b"A a a a a a a a"])] == [0, 1, 1, 2, 1]
