@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .chat import format_chats
+from .chat import ANNOUNCE, format_chats
 from .common import table
 from .decontaminate import decontamination_digest, find_benchmark_spans
 from .html_text import extract_main_text
@@ -78,7 +78,32 @@ QUERIES = {
 
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
 
+#: Reply order by recursion over the branches; equal (conv_id, turn) rows do not occur in the tables.
+_CHAT = r"""
+WITH RECURSIVE m AS (SELECT row_number() OVER () AS rid, conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+ln AS (SELECT rid, conv_id, turn, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i, unnest(string_split(text, chr(10))) AS x FROM m),
+lv AS (SELECT rid, conv_id, turn, i, len(regexp_replace(regexp_extract(x, '^[ \t]*((?:>[ \t]?)*)', 1), '[^>]', '', 'g')) AS level, regexp_replace(x, '^[ \t]*(?:>[ \t]?)*', '') AS words FROM ln),
+nx AS (SELECT *, coalesce(lead(level) OVER (PARTITION BY rid ORDER BY i), 0) AS after FROM lv),
+cl AS (SELECT rid, regexp_replace(trim(string_agg(rtrim(words), chr(10) ORDER BY i), chr(10)), '\n{3,}', chr(10) || chr(10), 'g') AS clean FROM nx
+       WHERE level = 0 AND NOT (after > 0 AND regexp_matches(words, 'ANNOUNCE')) GROUP BY rid),
+un AS (SELECT conv_id, turn, level, trim(regexp_replace(lower(w), '[^\p{L}\p{N}]+', ' ', 'g')) AS said
+       FROM (SELECT conv_id, turn, level, words AS w FROM lv UNION ALL SELECT conv_id, turn, level, string_agg(words, ' ' ORDER BY i) FROM lv GROUP BY rid, conv_id, turn, level)),
+u AS (SELECT DISTINCT * FROM un WHERE said <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+lk AS (SELECT q.conv_id, q.turn, q.level, (SELECT max(o.turn) FROM u o WHERE o.level = 0 AND o.conv_id = q.conv_id AND o.said = q.said AND o.turn < q.turn) AS target FROM u q WHERE q.level > 0),
+re AS (SELECT conv_id, turn, count(*) AS n_quotes, count(target) AS n_linked, coalesce(max(target) FILTER (WHERE level = 1), max(target)) AS reply_to FROM lk GROUP BY conv_id, turn),
+tu AS (SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM (SELECT DISTINCT conv_id, turn FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL)),
+br AS (SELECT conv_id, turn AS start, reply_to AS spot FROM re JOIN tu USING (conv_id, turn) WHERE reply_to < before),
+up AS (SELECT b.conv_id, b.start, b.spot, (SELECT max(o.start) FROM br o WHERE o.conv_id = b.conv_id AND o.start <= b.spot) AS above FROM br b),
+pa(conv_id, start, path) AS (SELECT conv_id, start, [spot, start] FROM up WHERE above IS NULL UNION ALL SELECT up.conv_id, up.start, list_concat(pa.path, [up.spot, up.start]) FROM up JOIN pa ON up.conv_id = pa.conv_id AND up.above = pa.start),
+hd AS (SELECT m.*, coalesce(cl.clean, '') AS clean, (SELECT max(b.start) FROM br b WHERE b.conv_id = m.conv_id AND b.start <= m.turn) AS branch FROM m LEFT JOIN cl USING (rid)),
+al AS (SELECT h.*, coalesce(pa.path, CAST([] AS BIGINT[])) AS path FROM hd h LEFT JOIN pa ON pa.conv_id = h.conv_id AND pa.start = h.branch)
+SELECT al.conv_id, al.turn, al.role, al.clean AS text, '<|' || coalesce(al.role, 'user') || '|>' || chr(10) || al.clean AS message, coalesce(re.n_quotes, 0) AS n_quotes, coalesce(re.n_linked, 0) AS n_linked, re.reply_to,
+       CASE WHEN al.conv_id IS NOT NULL AND al.turn IS NOT NULL THEN row_number() OVER (PARTITION BY al.conv_id ORDER BY list_concat(al.path, [al.turn, -1]), al.role, al.clean) - 1 END AS position, CAST(len(al.path) // 2 AS BIGINT) AS depth
+FROM al LEFT JOIN re ON re.conv_id = al.conv_id AND re.turn = al.turn
+""".replace("ANNOUNCE", ANNOUNCE)
+
 ORACLES = {
+    "op10_chat_formatting": _CHAT,
     "op1_benchmark_decontamination": r"""
 WITH dw AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
 bw AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),

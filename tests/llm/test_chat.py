@@ -123,3 +123,17 @@ def test_texts_and_odd_rows(spark):
 def test_no_python_in_the_plan(spark):
     df = format_chats(frame(spark, random_chats(random.Random(1), 2, 4)))
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_sql_agrees(spark):
+    import duckdb
+
+    from shoplark.llm.queries import ORACLES
+
+    rows = random_chats(random.Random(21), 6, 14) + [(90, 0, None, None), (91, 3, "user", "On May 3 B wrote:\n> x y\nok")]
+    duck = duckdb.connect()
+    duck.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
+    duck.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    got = duck.sql(ORACLES["op10_chat_formatting"])
+    want = sorted(got.fetchall())
+    assert sorted(tuple(r[c] for c in got.columns) for r in format_chats(frame(spark, rows)).collect()) == want
