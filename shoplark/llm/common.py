@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Texts handled together inside a Python worker; bounds the memory of one step whatever Arrow's batch size is.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_held: dict[str, Callable[[], object]] = {}
+
+
+def hold_memory(name: str, forget: Callable[[], object]) -> None:
+    """Called where a worker begins to use its caches of that name: what other operators left in this worker goes.
+
+    Workers serve one stage after the other, so without this the caches of all stages would add up.
+    """
+    for other in [x for x in _held if x != name]:
+        _held.pop(other)()
+    _held[name] = forget
+
+
 class Interned(dict):
     """Gives each new key the next number and remembers it as pending."""
 

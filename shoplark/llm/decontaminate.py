@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_slices
+from .common import hold_memory, text_slices
 
 #: Bytes to blanks, A-Z to lower case; digits, letters and all bytes of non-ASCII characters are word bytes.
 WORD_BYTES = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -127,6 +127,7 @@ def find_benchmark_spans(
         last, name = block == blocks - 1, uuid.uuid4().hex
 
         def step(batches: Iterator[pa.RecordBatch], sent=sent, last=last, name=name) -> Iterator[pa.RecordBatch]:
+            hold_memory("patterns", _built.clear)
             if name not in _built:
                 _built.clear()
                 _built[name] = Matcher(sent.value, window)

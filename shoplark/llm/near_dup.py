@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, mix64, stored, text_slices
+from .common import hold_memory, map_arrow, mix64, stored, text_slices
 
 BANDS, ROWS = 32, 4
 BUCKETS = BANDS * ROWS
 BUCKET_BITS, MANTISSA_BITS = 7, 10
 NO_HASH = 0xFFFF
 #: Words that one worker keeps the hashes of.
-WORDS = 400_000
+WORDS = 300_000
 #: Classes of one key's group that are searched together, and bytes of full sets; beyond, blocks meet in pairs.
 BLOCK, SET_BYTES = 4096, 8 << 20
 
@@ -190,6 +190,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        hold_memory("hashes", _hashes.clear)
         for rows, texts in text_slices(batches, "text"):
             sets = shingle_sets(texts)
             prints = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets), np.int64).reshape(-1, 2)
@@ -217,6 +218,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> Da
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_memory("hashes", _hashes.clear)
         for batch in batches:
             bits = batch.column("bit").to_numpy() - 1
             there = (sent.value[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1
@@ -234,6 +236,7 @@ def candidate_edges(active: DataFrame, classes: DataFrame, threshold: int) -> Da
     met = dealt.join(classes.select("id", "n", "regs"), "id").select("key", "i", "j", "id", "n", "regs").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_memory("sets", lambda: None)
         for group in groups_of(batches, ["key", "i", "j"]):
             ids, n, regs = group.column("id").to_numpy(), group.column("n").to_numpy(), _register_rows(group.column("regs").combine_chunks())
             yield _edges(ids, search(len(ids), lambda row, others: promising(regs[row], regs[others], n[row], n[others], threshold)))
@@ -259,6 +262,7 @@ def confirmed_edges(docs: DataFrame, clusters: DataFrame, threshold: int, id_col
     met = dealt.select("comp", "i", "j", "id", "set").repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_memory("sets", lambda: None)
         for group in groups_of(batches, ["comp", "i", "j"]):
             ids = group.column("id").to_numpy()
             own = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("set").combine_chunks()]

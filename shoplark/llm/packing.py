@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import hold_memory, text_slices
 from .tokens import encoder
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -135,6 +135,7 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int, capacity: int = 2048,
     """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_memory("encoder", encoder.cache_clear)
         own, packer = encoder(tokenizer), Packer(capacity, TaskContext.get().partitionId() << 33)
         end = np.array([end_id], np.int32)
         for rows, texts in text_slices(batches, "text"):

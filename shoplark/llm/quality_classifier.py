@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_slices
+from .common import hold_memory, text_slices
 from .decontaminate import split_words
 
 SHAPE = ("log_words", "mean_word", "symbols", "upper", "digits", "calls", "bars", "newlines", "repeated_lines", "distinct")
@@ -211,7 +211,7 @@ class Classifier:
 class Views:
     """Both views of texts; the numbers of words are kept by the worker."""
 
-    def __init__(self, words: int = 500_000) -> None:
+    def __init__(self, words: int = 200_000) -> None:
         self.memo, self.words = WordNumbers(), words
 
     def of(self, texts: list[bytes], langs: list, sources: list, chars: list) -> tuple[Rows, Rows]:
@@ -239,6 +239,7 @@ def _columns(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_
 
 
 def _view_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Rows, Rows]]:
+    hold_memory("views", _views.memo.clear)
     for rows, texts in text_slices(batches, "text"):
         yield rows, *_views.of(texts, *(rows.column(x).to_pylist() for x in ("lang", "source", "chars")))
 

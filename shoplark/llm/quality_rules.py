@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Interned, mix64, ragged, text_slices
+from .common import Interned, hold_memory, mix64, ragged, text_slices
 from .tokens import ODD, PIECES, WIDE
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -153,6 +153,7 @@ def judge_quality(
     bands, script_bands = bands or BANDS, script_bands or SCRIPT_BANDS
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_memory("fertility", fertility.cache_clear)
         own = fertility(model)
         for rows, texts in text_slices(batches, "text"):
             words = [split_words(t) for t in texts]

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Interned, text_slices
+from .common import Interned, hold_memory, text_slices
 from .tokens import BYTES, PIECES, cut_spaced, piece_text
 
 
@@ -137,6 +137,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, limit: int = 1024, id_col:
     """doc_id, n_bytes, n_tokens, over_limit of every document; no shuffle."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_memory("counter", counter.cache_clear)
         own = counter(tokenizer)
         for rows, texts in text_slices(batches, "text"):
             n = own.count(texts)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import shared_path, text_slices
+from .common import hold_memory, shared_path, text_slices
 from .tokens import encoder
 
 FILE_SCHEMA = T.StructType(
@@ -69,6 +69,7 @@ def write_token_files(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_memory("encoder", encoder.cache_clear)
         own, at, part = encoder(tokenizer), 0, TaskContext.get().partitionId()
         for rows, texts in text_slices(batches, "text"):
             ids, sizes = own.encode(texts)
