@@ -18,6 +18,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,6 +106,15 @@ class Matcher:
 _built: dict[str, Matcher] = {}
 
 
+def matcher_of(name: str, sent: Broadcast, window: int) -> Matcher:
+    """A function of the module, so that it finds the worker's own dictionary; a nested one would be sent a copy."""
+    hold_memory("patterns", _built.clear)
+    if name not in _built:
+        _built.clear()
+        _built[name] = Matcher(sent.value, window)
+    return _built[name]
+
+
 def find_benchmark_spans(
     docs: DataFrame, benchmark: DataFrame, *, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", item_bytes: int = ITEM_BYTES, carry: bool = False
 ) -> DataFrame:
@@ -127,11 +137,7 @@ def find_benchmark_spans(
         last, name = block == blocks - 1, uuid.uuid4().hex
 
         def step(batches: Iterator[pa.RecordBatch], sent=sent, last=last, name=name) -> Iterator[pa.RecordBatch]:
-            hold_memory("patterns", _built.clear)
-            if name not in _built:
-                _built.clear()
-                _built[name] = Matcher(sent.value, window)
-            matcher = _built[name]
+            matcher = matcher_of(name, sent, window)
             for rows, texts in text_slices(batches, "text"):
                 bounds, found, counts = [], [], []
                 for t, b, x in zip(texts, rows.column("bounds").to_pylist(), rows.column("items").to_pylist()):

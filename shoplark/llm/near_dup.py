@@ -54,6 +54,11 @@ class WordHashes(dict):
 _hashes = WordHashes()
 
 
+def hold_hashes() -> None:
+    """A function of the module, so that it finds the worker's own dictionary; a nested one would be sent a copy."""
+    hold_memory("hashes", _hashes.clear)
+
+
 def shingle_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's shingles."""
     if len(_hashes) > WORDS:
@@ -190,7 +195,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        hold_memory("hashes", _hashes.clear)
+        hold_hashes()
         for rows, texts in text_slices(batches, "text"):
             sets = shingle_sets(texts)
             prints = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets), np.int64).reshape(-1, 2)
@@ -218,7 +223,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> Da
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold_memory("hashes", _hashes.clear)
+        hold_hashes()
         for batch in batches:
             bits = batch.column("bit").to_numpy() - 1
             there = (sent.value[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1
