@@ -29,7 +29,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group of near duplicates; rows without an id stay."""
     judged = near_duplicates(docs).where("kept and doc_id is not null")
     kept = stored(judged.groupBy("doc_id").agg(F.count("*").alias("copies")), "kept")
-    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    # The ids that stay grow with the corpus, so they are never broadcast, however few they are on small inputs.
+    out = docs.join(kept.select("doc_id").hint("merge"), "doc_id", "left_semi")
     if not kept.where("copies > 1").isEmpty():
         out = out.dropDuplicates(["doc_id"])
     return out.unionByName(docs.where("doc_id is null"))
