@@ -1,8 +1,10 @@
 """Chat formatting by quotation linking, in DataFrame and SQL functions only.
 
-1. Each line has a quote level, the number of ">" before it. What is quoted is taken as units: every line, and all
-   lines of a level together (so that a passage that was wrapped anew is still found). Units are normalised (lower
-   case, runs of other than letters and digits as one blank) and hashed.
+1. Each line has a quote level, the number of ">" before it. What is quoted is taken as units: every line, all lines
+   of a level together, and, so that passages that were wrapped anew are found, the level's runs of consecutive lines,
+   their paragraphs (parted by lines without letters or digits) and all its lines without announcements of deeper
+   quotes. Units are normalised (lower case, runs of other than letters and digits as one blank) and hashed. A part
+   of a paragraph that was wrapped anew is no unit.
 2. A quoted unit is linked to the latest earlier message of its conversation that says it itself (level 0). The
    lookup is by (conversation, hash) in two steps, within spans of turns and over the spans, so that neither a huge
    conversation nor a line that everyone repeats makes pairs or one large group.
@@ -33,26 +35,33 @@ PLAIN = r"trim(regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}]+', ' '))"
 
 
 def parsed(messages: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
-    """conv_id, turn, role, clean (own text without quotes and their announcements), units of (level, said)."""
+    """conv_id, turn, role, clean (own text without quotes and their announcements), units of (level, and the hashes h1 and h2)."""
     rows = messages.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
     lines = rows.withColumn("lines", F.expr(LINES))
-    said = PLAIN.format("x.words")
-    own = f"filter(lines, (x, i) -> x.level = 0 AND NOT (x.words rlike r'{ANNOUNCE}' AND coalesce(get(lines, i + 1).level, 0) > 0))"
-    whole = PLAIN.format("array_join(transform(filter(lines, y -> y.level = l), y -> y.words), ' ')")
+    # told: the line announces a quote that is deeper than itself.
+    marked = f"transform(lines, (x, i) -> struct(x.level AS level, x.words AS words, {PLAIN.format('x.words')} AS said, x.words rlike r'{ANNOUNCE}' AND coalesce(get(lines, i + 1).level, 0) > x.level AS told))"
+    lines = lines.withColumn("lines", F.expr(marked))
+    own = "filter(lines, x -> x.level = 0 AND NOT x.told)"
+    # Line breaks part passages: the normalised lines have none.
+    parts = "split(array_join(transform(lines, y -> CASE WHEN {0} THEN y.said ELSE '\n' END), ' '), '\n')"
+    wholes = "array_join(transform(filter(lines, y -> {0}), y -> y.said), ' ')"
+    here = "y.level = l AND NOT y.told"
+    passages = f"concat(array({wholes.format('y.level = l')}, {wholes.format(here)}), {parts.format(here)}, {parts.format(here + " AND y.said <> ''")})"
+    units = f"concat(transform(lines, x -> struct(x.level AS level, x.said AS said)), flatten(transform(array_distinct(transform(lines, x -> x.level)), l -> transform({passages}, w -> struct(l AS level, trim(regexp_replace(w, ' +', ' ')) AS said)))))"
     return lines.select(
         "conv_id",
         "turn",
         "role",
         F.expr(rf"regexp_replace(trim(BOTH '\n' FROM array_join(transform({own}, x -> rtrim(x.words)), '\n')), '\n{{3,}}', '\n\n')").alias("clean"),
-        F.expr(f"array_distinct(concat(transform(lines, x -> struct(x.level AS level, {said} AS said)), transform(array_distinct(transform(lines, x -> x.level)), l -> struct(l AS level, {whole} AS said))))").alias("units"),
+        F.expr(f"array_distinct(transform(filter({units}, u -> u.said <> ''), u -> struct(u.level AS level, xxhash64(u.said) AS h1, hash(u.said) AS h2)))").alias("units"),
     )
 
 
 def linked_units(messages: DataFrame) -> DataFrame:
     """conv_id, turn, level, to (the latest earlier turn that says the quoted unit itself, or null) of every quoted unit."""
     usable = messages.where("conv_id is not null and turn is not null")
-    units = usable.select("conv_id", "turn", F.explode("units").alias("u")).where("u.said <> ''")
-    units = units.select("conv_id", "turn", F.col("u.level").alias("level"), F.xxhash64("u.said").alias("h1"), F.hash("u.said").alias("h2"), F.floor(F.col("turn") / SPAN).alias("span"))
+    units = usable.select("conv_id", "turn", F.explode("units").alias("u"))
+    units = units.select("conv_id", "turn", "u.level", "u.h1", "u.h2", F.floor(F.col("turn") / SPAN).alias("span"))
     key = ["conv_id", "h1", "h2"]
     quotes = stored(units.where("level > 0").distinct(), "quotes")
     first = units.where("level = 0").select("conv_id", "turn", "h1", "h2", "span").distinct()

@@ -137,3 +137,72 @@ def test_sql_agrees(spark):
     got = duck.sql(ORACLES["op10_chat_formatting"])
     want = sorted(got.fetchall())
     assert sorted(tuple(r[c] for c in got.columns) for r in format_chats(frame(spark, rows)).collect()) == want
+
+
+def passages(lines, units=units):
+    """All that a brute force takes for units: lines, levels, and the levels' runs and paragraphs without announcements."""
+    told = [bool(re.match(ANNOUNCE, w)) and i + 1 < len(lines) and lines[i + 1][0] > n for i, (n, w) in enumerate(lines)]
+    found = units(lines)
+    for k in {n for n, _ in lines}:
+        run, paragraph, whole = [], [], []
+        for (n, w), out in [*zip(lines, told), ((-1, ""), False)]:
+            inside = n == k and not out
+            if not inside:
+                found.add((k, plain(" ".join(run))))
+                run = []
+            if not inside or not plain(w):
+                found.add((k, plain(" ".join(paragraph))))
+                paragraph = []
+            if inside:
+                run.append(w)
+                paragraph.append(w)
+                whole.append(w)
+        found.add((k, plain(" ".join(whole))))
+    return {(n, w) for n, w in found if w}
+
+
+def wrapped(words, width):
+    return "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+
+def passage_chats(rng, convs, turns):
+    rows = []
+    for c in range(convs):
+        said = []
+        for t in range(turns):
+            own = [[f"w{rng.randint(0, 999)}" for _ in range(rng.randint(5, 12))] for _ in range(3)]
+            blocks = [wrapped(p, 4) for p in own]
+            if said and rng.random() < 0.8:
+                quotes = [re.sub("(?m)^", "> ", wrapped(p, 3)) for p in rng.choice(said)[: rng.randint(1, 3)]]
+                style = rng.randrange(3)
+                if style == 0:  # answers between
+                    blocks = [x for i, b in enumerate(blocks) for x in (*quotes[i : i + 1], b)]
+                elif style == 1:  # in one block of some paragraphs, announced
+                    blocks = ["On Monday A wrote:\n" + "\n>\n".join(quotes), *blocks]
+                else:  # below the answer, which a later quote cites without the announcement
+                    blocks = [*blocks[:2], blocks[2] + "\nOn Monday A wrote:\n" + "\n".join(quotes)]
+            rows.append((c, t, "user", "\n\n".join(blocks)))
+            said.append(own)
+    rng.shuffle(rows)
+    return rows
+
+
+def test_passages_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setitem(brute.__globals__, "units", passages)
+    rows = passage_chats(random.Random(5), 8, 10)
+    check(spark, rows)
+
+
+def test_rewrapped_passages_are_linked(spark):
+    rows = [
+        (1, 0, "user", "One two three\nfour five.\n\nSix seven eight\nnine ten.\n\nLast of all\nparagraphs here."),
+        (1, 1, "assistant", "Something else."),
+        (1, 2, "user", "> One two\n> three four five.\nMy answer.\n> Six seven\n> eight nine ten.\nAnd another\nanswer to it."),
+        (1, 3, "user", "Filler."),
+        (1, 4, "user", "On Monday A wrote:\n> Something else.\nNow an answer\nof two lines."),
+        (1, 5, "user", "More filler."),
+        (1, 6, "user", "> Now an\n> answer of two lines.\nRight."),
+        (1, 7, "user", "> Six seven\n> eight nine ten.\n>\n> Last of\n> all paragraphs here.\nYes."),
+    ]
+    got = {r.turn: (r.reply_to, r.n_linked > 0) for r in format_chats(frame(spark, rows)).collect()}
+    assert got == {0: (None, False), 1: (None, False), 2: (0, True), 3: (None, False), 4: (1, True), 5: (None, False), 6: (4, True), 7: (0, True)}
