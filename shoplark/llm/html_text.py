@@ -28,9 +28,15 @@ from .common import text_slices
 
 # Fixed values of HTML: elements without content, with raw text, inline ones, and those whose start closes a paragraph.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TEXT = frozenset("script style noscript template iframe svg math object textarea title select".split())
+RAW_TEXT = frozenset("script style iframe textarea title".split())
+#: Elements whose content is left out if they are closed; FOREIGN ones may close themselves, and end where HTML begins.
+SKIPPED = frozenset("noscript template svg math object select".split())
+FOREIGN = frozenset(("svg", "math"))
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: Start tags that end foreign content, and elements of foreign content in which they do not.
+BREAKS_OUT = CLOSES_P | frozenset("b big body br center code dd dt em embed head i img li listing meta nobr ruby s small span strong strike sub sup td th tr tt u var".split())
+HTML_WITHIN = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
 #: An open element of the values is closed by a start tag of the key, unless one of SCOPES lies between.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 SCOPES = frozenset("html body table ul ol dl menu article aside section div td th".split())
@@ -68,12 +74,70 @@ def attribute_tokens(raw: str) -> frozenset:
     return frozenset(w for m in MARKS.finditer(raw) for w in WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", m[1] or m[2] or m[3] or "").lower()))
 
 
+def skipped_ends(page: str, at: int) -> dict[int, int]:
+    """Where the content of each SKIPPED element from at on ends, by where it begins; unclosed elements are not there."""
+    ends: dict[int, int] = {}
+    open_: list[tuple[str, int]] = []
+    marks: list[str] = []  # the FOREIGN and HTML_WITHIN ones of them
+    counts: dict[str, int] = dict.fromkeys(SKIPPED | HTML_WITHIN, 0)
+
+    def pop(end: int, keep: frozenset | set) -> str:
+        name, start = open_.pop()
+        counts[name] -= 1
+        if marks and name not in SKIPPED - FOREIGN:
+            marks.pop()
+        if name in keep:
+            ends[start] = end
+        return name
+
+    while (begin := page.find("<", at)) >= 0:
+        m = TAG.match(page, begin)
+        if m and m[3] is None:
+            at = m.end()
+            continue
+        if m is None or not m[5]:
+            m = LOOSE_TAG.match(page, begin)
+            if not m:
+                at = begin + 1
+                continue
+            slash, name, raw = m[1], m[2], m[3]
+        else:
+            slash, name, raw = m[2], m[3], m[4]
+        at, tag = m.end(), name.lower()
+        within = marks[-1] if marks else None
+        if slash:
+            if counts.get(tag):
+                while pop(at, {tag} & SKIPPED) != tag:
+                    pass
+            continue
+        if within in FOREIGN and tag in BREAKS_OUT:
+            while marks and marks[-1] in FOREIGN:
+                pop(begin, FOREIGN)
+            continue
+        empty = raw.endswith("/") and (within in FOREIGN or tag in FOREIGN)
+        if empty:
+            continue
+        if tag in RAW_TEXT:
+            end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
+            if end is None:
+                if within in FOREIGN:
+                    continue
+                break
+            at = page.find(">", end.start()) + 1 or len(page)
+        elif tag in SKIPPED or (within and tag in HTML_WITHIN):
+            open_.append((tag, at))
+            counts[tag] += 1
+            marks += [tag] * (tag in FOREIGN or tag in HTML_WITHIN)
+    return ends
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block nodes, the root first and parents before children, and (node, text) in page order; "\\n" parts blocks."""
     nodes = [Node("#root", frozenset(), -1, 0, 0)]
     texts: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = [("#root", 0)]  # open elements with their block nodes
     links = 0
+    skips: dict[int, int] | None = None
     at, n = 0, len(page)
 
     def text(piece: str) -> None:
@@ -137,8 +201,14 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             nodes[top].inputs += tag == "input"
             texts.append((top, "\n" if tag in ("br", "hr") else ""))
             continue
+        if tag in SKIPPED:
+            nodes[top].inputs += tag == "select"
+            if not (raw.endswith("/") and tag in FOREIGN):
+                skips = skipped_ends(page, begin) if skips is None else skips
+                at = skips.get(at, at)
+            continue
         if tag in RAW_TEXT:
-            nodes[top].inputs += tag in ("textarea", "select")
+            nodes[top].inputs += tag == "textarea"
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
             if end is None:
                 break

@@ -61,3 +61,22 @@ def test_rows(spark, model):
     assert got[1].n_chars == len(got[1].text) == 70
     assert got[4].n_chars == 5 * 200_000 - 1
     assert extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "begin",
+    ['<svg viewBox="0 0 1 1"/>', "<math/>", "<svg><path d=x/>", "<svg><style/><g>", "<math><mrow>", "<object data=x>", "<noscript>", "<select><option>one", "<template>", "<svg><path/></svg>", "<object><object>in</object>", "<svg><foreignObject><p>in</p></foreignObject></svg>", "<!-- <svg> --><script>'<svg>'</script>"],
+)
+@pytest.mark.parametrize("more", ["", "<svg><text>label</text></svg><object>in</object><noscript>in</noscript><select><option>in</select><template>in</template><math><mi>in</mi></math>"])
+def test_no_prefix_is_cut(begin, more):
+    said = "".join(t for _, t in parse(f"<body>{begin}<p>The article.</p>{more}<div>Its end.</div></body>")[1]).split()
+    assert [w for w in said if w not in ("one", "in")] == ["The", "article.", "Its", "end."]
+
+
+def test_closed_elements_are_left_out():
+    page = "<p>a<svg><svg>x</svg><title>x</title>x</svg>b<object>x<object>x</object>x</object>c<noscript><img src=x>x</noscript>d<template><svg>x</template>e<math><mtext><p>x</p></mtext></math>f<select><option>x</select>g<script>'</svg>'</script>h"
+    assert "".join(t for _, t in parse(page)[1]).split() == ["abcdefgh"]
+
+
+def test_many_unclosed_elements_take_linear_time():
+    assert "".join(t for _, t in parse("<object>" * 30_000 + "end")[1]) == "end"
