@@ -162,6 +162,33 @@ def test_balance_variants(spark):
         imbalance.undersampled(train.where("label = 0").union(train.where("label = 1").limit(1)))
 
 
+@pytest.mark.parametrize("tied", [False, True])
+def test_neighbours_are_exact_over_many_blocks(spark, tied):
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 4, (230, 2)).astype(float) if tied else rng.normal(size=(230, 3)) * [1, 30, 5]
+    if tied:
+        x[:150] = 0
+    names = list("abc"[: x.shape[1]])
+    rows = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], ["n", *names])
+    d = ((x[:, None] - x[None]) ** 2).sum(-1)
+    np.fill_diagonal(d, np.inf)
+    want = {(i, r, int(j)) for i in range(len(x)) for r, j in enumerate(np.argsort(d[i], kind="stable")[:5])}
+    for block in (20, 1000):
+        got = imbalance.nearest_positives(rows, names, block=block).collect()
+        assert {(r.n, r.rank, r.neighbour) for r in got} == want and len(got) == len(want)
+
+
+def test_no_synthetic_row_is_lost(spark, monkeypatch):
+    train, names = train_frame(spark), ["a", "b", "kind_code"]
+    near = imbalance.nearest_positives
+    monkeypatch.setattr(imbalance, "nearest_positives", lambda *a, **o: near(*a, **o | {"block": 4}))
+    s = imbalance.class_statistics(imbalance.oversampled(train, names)).first()
+    assert s.positive_count == s.negative_count
+    monkeypatch.setattr(imbalance, "nearest_positives", lambda *a, **o: near(*a, **o).where("rank < 2"))
+    with pytest.raises(Exception, match="fewer neighbours"):
+        imbalance.oversampled(train, names).collect()
+
+
 def test_metrics_against_definitions(spark):
     rng = np.random.default_rng(1)
     y, p = rng.integers(0, 2, 300), np.round(rng.random(300), 1)
