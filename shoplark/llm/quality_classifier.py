@@ -5,8 +5,8 @@ length), each get a logistic model for each target: good quality, and toxic. Ove
 verdicts on unlabelled documents become pseudo-labels for the other. Both are then calibrated on labelled documents
 that no model has seen and combined by their log-odds; the combination scores all documents.
 
-The models are fitted on the driver on bounded samples (labelled_rows, unlabelled_rows), chosen by a hash of the id;
-all documents are scored, from their whole texts. A target without two classes among its labels has no model: every
+The models are fitted on the driver on bounded samples (labelled_rows, unlabelled_rows), chosen by a hash of the id,
+labels of rare classes first; all documents are scored, from their whole texts. A target without two classes among its labels has no model: every
 document is then good, or not toxic. Null and empty texts have no words but are scored by their shape and metadata;
 null metadata is a value of its own; repeated labels of a document count once (as bad or toxic if any says so);
 repeated documents are scored each; an empty table gives no rows. Only the named columns are read.
@@ -159,38 +159,72 @@ def combined(a: np.ndarray, b: np.ndarray) -> Rows:
     return Rows(none, none, np.stack([np.clip(a, -20, 20), np.clip(b, -20, 20)], 1))
 
 
-def co_train(text: Rows, meta: Rows, y: np.ndarray, *, rounds: int = 3, confident: float = 0.97, share: float = 0.1, pseudo_weight: float = 0.5, words: int = 4000) -> Head | None:
-    """y: 1, 0, or -1 for unlabelled. A fifth of the labelled rows is held back for calibration."""
+def dealt(y: np.ndarray, known: np.ndarray, folds: int) -> np.ndarray:
+    """A fold for each known row; each class is dealt out evenly."""
+    out = np.zeros(len(known), np.int64)
+    for c in np.unique(y[known]):
+        of = np.flatnonzero(y[known] == c)
+        out[of] = np.arange(len(of)) % folds
+    return out
+
+
+def co_train(text: Rows, meta: Rows, y: np.ndarray, weight: np.ndarray | None = None, *, rounds: int = 3, confident: float = 0.97, share: float = 0.1, pseudo_weight: float = 0.5, words: int = 4000, least_held: int = 5) -> Head | None:
+    """y: 1, 0, or -1 for unlabelled; weight: of the labelled rows. None where the labels do not have two classes.
+
+    A fifth of each class is held back for calibration. Where that leaves a class with less than least_held rows,
+    calibration is on margins by models of other folds, and the models are of all labelled rows; a class of a single
+    row leaves no fold without it, so margins are then those of the models themselves.
+    """
     known = np.flatnonzero(y >= 0)
-    held = known[np.arange(len(known)) % 5 == 4]
-    train = np.setdiff1d(known, held)
-    if any(len(np.unique(y[x])) < 2 for x in (train, held)):
+    if len(np.unique(y[known])) < 2:
         return None
+    weight = np.ones(len(y)) if weight is None else weight / weight[known].mean()
     pool = np.flatnonzero(y < 0)
-    given = {"text": (np.zeros(0, np.int64), np.zeros(0)), "meta": (np.zeros(0, np.int64), np.zeros(0))}
-    views, models, pseudo = {"text": text, "meta": meta}, {}, []
-    for turn in range(rounds):
-        for name, view in views.items():
-            extra, labels = given[name]
-            at = np.concatenate([train, extra])
-            target = np.concatenate([y[train], labels]).astype(float)
-            weight = np.concatenate([np.ones(len(train)), np.full(len(extra), pseudo_weight)])
-            models[name] = fit_logistic(view.take(at), target, weight, most=words)
-        if turn == rounds - 1 or not len(pool):
-            break
-        for name, other in (("text", "meta"), ("meta", "text")):
-            p = 1 / (1 + np.exp(-np.clip(models[name].margin(views[name].take(pool)), -30, 30)))
-            sure = np.flatnonzero(np.maximum(p, 1 - p) >= confident)
-            # As many of each class as its share of the labels allows, the surest first.
-            most = int(share * len(pool))
-            rate = y[train].mean()
-            good, bad = sure[p[sure] > 0.5], sure[p[sure] <= 0.5]
-            good = good[np.argsort(-p[good], kind="stable")][: int(most * rate)]
-            bad = bad[np.argsort(p[bad], kind="stable")][: int(most * (1 - rate))]
-            given[other] = (pool[np.concatenate([good, bad])], np.concatenate([np.ones(len(good)), np.zeros(len(bad))]))
-        pseudo.append((len(given["text"][0]), len(given["meta"][0])))
-    margins = combined(models["text"].margin(text.take(held)), models["meta"].margin(meta.take(held)))
-    return Head(models["text"], models["meta"], fit_logistic(margins, y[held].astype(float), np.ones(len(held)), most=0, ridge=0.5, steps=400), pseudo)
+    views = {"text": text, "meta": meta}
+
+    def taught(train: np.ndarray) -> tuple[dict[str, Logistic], list[tuple[int, int]]]:
+        given = {"text": (np.zeros(0, np.int64), np.zeros(0)), "meta": (np.zeros(0, np.int64), np.zeros(0))}
+        models, pseudo = {}, []
+        for turn in range(rounds):
+            for name, view in views.items():
+                extra, labels = given[name]
+                at = np.concatenate([train, extra])
+                target = np.concatenate([y[train], labels]).astype(float)
+                models[name] = fit_logistic(view.take(at), target, np.concatenate([weight[train], np.full(len(extra), pseudo_weight)]), most=words)
+            if turn == rounds - 1 or not len(pool):
+                break
+            for name, other in (("text", "meta"), ("meta", "text")):
+                p = 1 / (1 + np.exp(-np.clip(models[name].margin(views[name].take(pool)), -30, 30)))
+                sure = np.flatnonzero(np.maximum(p, 1 - p) >= confident)
+                # As many of each class as its share of the labels allows, the surest first.
+                most = int(share * len(pool))
+                rate = np.average(y[train], weights=weight[train])
+                good, bad = sure[p[sure] > 0.5], sure[p[sure] <= 0.5]
+                good = good[np.argsort(-p[good], kind="stable")][: int(most * rate)]
+                bad = bad[np.argsort(p[bad], kind="stable")][: int(most * (1 - rate))]
+                given[other] = (pool[np.concatenate([good, bad])], np.concatenate([np.ones(len(good)), np.zeros(len(bad))]))
+            pseudo.append((len(given["text"][0]), len(given["meta"][0])))
+        return models, pseudo
+
+    def margins(models: dict[str, Logistic], at: np.ndarray) -> Rows:
+        return combined(models["text"].margin(text.take(at)), models["meta"].margin(meta.take(at)))
+
+    rare = int(np.unique(y[known], return_counts=True)[1].min())
+    if rare >= 5 * least_held:
+        fold = dealt(y, known, 5)
+        held = known[fold == 4]
+        models, pseudo = taught(known[fold < 4])
+        seen = margins(models, held)
+    else:
+        held = known
+        models, pseudo = taught(known)
+        seen = margins(models, known)
+        if rare > 1:
+            folds = min(5, rare)
+            fold = dealt(y, known, folds)
+            for k in range(folds):
+                seen.dense[fold == k] = margins(taught(known[fold != k])[0], known[fold == k]).dense
+    return Head(models["text"], models["meta"], fit_logistic(seen, y[held].astype(float), weight[held], most=0, ridge=0.5, steps=400), pseudo)
 
 
 @dataclass
@@ -252,11 +286,23 @@ def _lists(rows: Rows) -> pa.Array:
 def train_classifier(
     docs: DataFrame, labels: DataFrame, *, labelled_rows: int = 8000, unlabelled_rows: int = 4000, rounds: int = 3, least_good: float = 0.5, most_toxic: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", chars_col: str = "n_chars"
 ) -> Classifier:
-    """Fits both heads. At most about labelled_rows and unlabelled_rows documents (by hash of the id) reach the driver, as hashed words."""
+    """Fits both heads. At most about labelled_rows and unlabelled_rows documents (by hash of the id) reach the driver, as hashed words.
+
+    Each combination of labels has an equal part of labelled_rows, and what small ones do not fill goes to the others,
+    so that all labels of a rare class are drawn; rows are weighted by how many they stand for.
+    """
     clean = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null")
     place = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30))
     cut = lambda rows, n: min(1 << 30, (rows << 30) // max(1, n))
-    known = clean.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")).where(place < cut(labelled_rows, clean.count()))
+    known = clean.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")).where("quality is not null or toxic is not null")
+    kind = F.concat_ws(" ", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("quality", "toxic")))
+    sizes = {r.kind: r.n for r in known.groupBy(kind.alias("kind")).agg(F.count("*").alias("n")).collect()}
+    left, cuts = labelled_rows, {}
+    for i, (name, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        cuts[name] = cut(min(n, left // (len(sizes) - i)), n)
+        left -= min(n, left // (len(sizes) - i))
+    drawn = F.create_map(*(F.lit(x) for c in cuts.items() for x in c))[kind] if cuts else F.lit(0)
+    known = known.withColumn("cut", drawn.cast("long")).where(place < F.col("cut")).withColumn("weight", F.try_divide(F.lit(float(1 << 30)), F.col("cut"))).drop("cut")
     rows = docs.select(*_columns(docs, id_col, text_col, lang_col, source_col, chars_col))
     pool = F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1 << 30)) < cut(unlabelled_rows, docs.count())
     sample = rows.join(F.broadcast(known.withColumn("known", F.lit(True))), "doc_id", "left").where(F.col("known") | pool)
@@ -264,9 +310,9 @@ def train_classifier(
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text, meta in _view_rows(batches):
             shapes = pa.ListArray.from_arrays(pa.array(np.arange(len(text.dense) + 1) * len(SHAPE), pa.int32()), pa.array(text.dense.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([*(rows.column(x) for x in ("doc_id", "quality", "toxic")), _lists(text), shapes, _lists(meta)], names=["doc_id", "quality", "toxic", "words", "shape", "meta"])
+            yield pa.RecordBatch.from_arrays([*(rows.column(x) for x in ("doc_id", "quality", "toxic", "weight")), _lists(text), shapes, _lists(meta)], names=["doc_id", "quality", "toxic", "weight", "words", "shape", "meta"])
 
-    found = sample.mapInArrow(step, "doc_id long, quality int, toxic int, words array<bigint>, shape array<double>, meta array<bigint>").toArrow().sort_by("doc_id")
+    found = sample.mapInArrow(step, "doc_id long, quality int, toxic int, weight double, words array<bigint>, shape array<double>, meta array<bigint>").toArrow().sort_by("doc_id")
     n = found.num_rows
     column = lambda x: found.column(x).combine_chunks()
     spread = lambda a: np.repeat(np.arange(n), np.diff(a.offsets.to_numpy()))
@@ -274,7 +320,8 @@ def train_classifier(
     text_rows = Rows(spread(words), words.flatten().to_numpy(), column("shape").flatten().to_numpy().reshape(n, len(SHAPE)))
     meta_rows = Rows(spread(meta), meta.flatten().to_numpy(), np.zeros((n, 0)))
     label = lambda x: column(x).fill_null(-1).to_numpy()
-    return Classifier(co_train(text_rows, meta_rows, label("quality"), rounds=rounds), co_train(text_rows, meta_rows, label("toxic"), rounds=rounds), least_good, most_toxic)
+    weight = column("weight").fill_null(1.0).to_numpy()
+    return Classifier(co_train(text_rows, meta_rows, label("quality"), weight, rounds=rounds), co_train(text_rows, meta_rows, label("toxic"), weight, rounds=rounds), least_good, most_toxic)
 
 
 def classify(docs: DataFrame, model: Classifier, *, carry: bool = False, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", chars_col: str = "n_chars") -> DataFrame:

@@ -68,3 +68,29 @@ def test_views_teach_each_other():
 def test_one_class_has_no_model(value):
     rows = Rows(np.arange(20), np.arange(20), np.zeros((20, 0)))
     assert co_train(rows, rows, np.full(20, value)) is None
+
+
+@pytest.mark.parametrize("rare", [1, 2, 4, 12])
+def test_few_labels_of_a_class_have_a_model(rare):
+    rng = np.random.default_rng(3)
+    n = 2000
+    y = np.zeros(n, int)
+    at = np.arange(0, 5 * rare, 5)  # never the fifth row
+    y[at] = 1
+    number = np.concatenate([np.stack([np.arange(n), y + 10], 1), np.stack([np.arange(n), rng.integers(20, 60, n)], 1)])
+    number = number[np.argsort(number[:, 0], kind="stable")]
+    one = Rows(number[:, 0], number[:, 1], np.stack([y * 3.0, rng.normal(size=n)], 1))
+    head = co_train(one, one, y)
+    margin = head.margin(one, one)
+    assert margin[y == 1].min() > margin[y == 0].max()
+
+
+def test_all_labels_of_a_rare_class_are_drawn(spark):
+    docs, labels, _ = corpus(spark, 1500)
+    toxic = labels.where("toxic = 1").limit(12).select("doc_id")
+    skewed = labels.where("toxic = 0").unionByName(labels.join(toxic, "doc_id", "left_semi")).localCheckpoint()
+    model = train_classifier(docs, skewed, labelled_rows=200, unlabelled_rows=200)
+    assert model.toxic is not None and model.good is not None
+    p = {r.doc_id: r.p_toxic for r in classify(docs.join(skewed, "doc_id", "left_semi"), model).collect()}
+    found = {r.doc_id for r in toxic.collect()}
+    assert len(found) == 12 and np.mean([p[i] for i in found]) > 5 * np.mean([p[i] for i in p if i not in found])
