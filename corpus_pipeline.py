@@ -26,13 +26,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group of near duplicates; rows without an id stay."""
-    judged = near_duplicates(docs).where("kept and doc_id is not null")
-    kept = stored(judged.groupBy("doc_id").agg(F.count("*").alias("copies")), "kept")
-    # The ids that stay grow with the corpus, so they are never broadcast, however few they are on small inputs.
-    out = docs.join(kept.select("doc_id").hint("merge"), "doc_id", "left_semi")
-    if not kept.where("copies > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id"])
+    """One document, that of the smallest doc_id, of each group of near duplicates; rows without an id stay.
+
+    Different texts under one id are documents of their own; of rows with equal id and text one stays.
+    """
+    rows, key = docs.where("doc_id is not null"), "doc_id"
+    if not rows.groupBy("doc_id").agg(F.count("*").alias("copies")).where("copies > 1").isEmpty():
+        # Keys in the order of ids, written so that they are the same wherever they are read.
+        order, key = [F.col("doc_id"), F.xxhash64("text")], "_row"
+        rows = rows.dropDuplicates(["doc_id", "text"]).repartitionByRange(*order).sortWithinPartitions(*order, "text")
+        rows = stored(rows.withColumn(key, F.monotonically_increasing_id()), "rows")
+    kept = stored(near_duplicates(rows, id_col=key).where("kept").select(F.col("doc_id").alias(key)), "kept")
+    # The keys that stay grow with the corpus, so they are never broadcast, however few they are on small inputs.
+    out = rows.join(kept.hint("merge"), key, "left_semi").select(*docs.columns)
     return out.unionByName(docs.where("doc_id is null"))
 
 

@@ -44,3 +44,10 @@ def test_every_operator_has_one_query():
     assert sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) == sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))
     assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 11)] == [1] * 10
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_texts_under_one_id_are_documents_of_their_own(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(7, a), (7, b), (7, b), (3, b + " more"), (9, c), (9, "few"), (9, "few"), (None, a)]
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), DATA).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(7, a), (3, b + " more"), (9, c), (9, "few"), (None, a)], key=str)
