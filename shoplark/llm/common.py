@@ -47,6 +47,11 @@ def slices(sizes: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, i
         yield begin, len(sizes)
 
 
+def as_list(texts: pa.Array) -> list:
+    """The same as to_pylist(), for texts and bytes several times faster."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Parts of the batches with their texts as Python values (bytes for binary columns, null as empty)."""
     for batch in batches:
@@ -54,7 +59,15 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tupl
         sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0))
         empty = b"" if pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type) else ""
         for a, b in slices(sizes):
-            yield batch.slice(a, b - a), [empty if x is None else x for x in texts.slice(a, b - a).to_pylist()]
+            yield batch.slice(a, b - a), as_list(pc.fill_null(texts.slice(a, b - a), empty))
+
+
+def array_slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 2 * SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Parts of the batches with their texts as Arrow arrays (null as empty)."""
+    for batch in batches:
+        texts = batch.column(column)
+        for a, b in slices(np.asarray(pc.fill_null(pc.binary_length(texts), 0)), limit):
+            yield batch.slice(a, b - a), pc.fill_null(texts.slice(a, b - a), "")
 
 
 def map_arrow(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import hold_memory, shared_path, text_slices
+from .common import hold_memory, shared_path, array_slices
 from .tokens import encoder
 
 FILE_SCHEMA = T.StructType(
@@ -71,7 +71,7 @@ def write_token_files(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold_memory("encoder", encoder.cache_clear)
         own, at, part = encoder(tokenizer), 0, TaskContext.get().partitionId()
-        for rows, texts in text_slices(batches, "text"):
+        for rows, texts in array_slices(batches, "text"):
             ids, sizes = own.encode(texts)
             ends = np.cumsum(sizes + 1)
             lists = np.full(int(ends[-1]), end_id, np.int32)
