@@ -1,9 +1,9 @@
 """Packing by Karmarkar-Karp multiway differencing.
 
-Documents are encoded, full windows are cut off, and what remains of the documents of a group is dealt into as
-few windows as can hold it: partial partitions are merged so that their imbalances oppose each other, which
-gives near-equal windows. A window that comes out over its capacity has its surplus cut off and put into
-windows with room; the window count rises if the sum exceeds the capacity of all.
+Documents are encoded, full windows are cut off, and what remains of the documents of a group is dealt into windows,
+in pieces of at most half a window; one in FINE remainders is cut into small pieces, which even out the others.
+Partial partitions are merged so that their imbalances oppose each other, which gives near-equal windows. The count
+of windows begins at the least that can hold the group and rises for as long as any window is over its capacity.
 
 Null texts count as empty (one end id); rows with equal or null ids are packed each for itself; an empty table
 gives no rows; only the id and text columns are read.
@@ -21,12 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hold_memory, text_slices
+from .common import hold_memory, array_slices
 from .tokens import encoder
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-#: Remainders that are packed together. Sum of padding is below one window a group; work grows as its square.
-GROUP = 768
+#: Remainders that are packed together; work grows as its square.
+GROUP = 384
+#: One in so many remainders is cut into pieces of a 64th of a window.
+FINE = 16
 
 
 def differencing(sizes: list[int], ways: int) -> list[list[int]]:
@@ -46,7 +48,6 @@ def differencing(sizes: list[int], ways: int) -> list[list[int]]:
             # The largest of one meet the smallest of the other.
             a, b = (a, b) if len(a) >= len(b) else (b, a)
             free = ways - len(a)
-            merged = a + b[:free]
             keep = len(a) - (len(b) - free)
             merged = a[:keep] + b[:free]
             merged += [(x + y, m + n) for (x, m), (y, n) in zip(a[keep:], reversed(b[free:]))]
@@ -58,35 +59,38 @@ def differencing(sizes: list[int], ways: int) -> list[list[int]]:
     return out + [[] for _ in range(ways - len(out))]
 
 
+def cut_up(sizes: list[int], capacity: int) -> list[tuple[int, int, int]]:
+    """(position, begin, length) of near-equal pieces of each item."""
+    out = []
+    for i, n in enumerate(sizes):
+        parts = -(-n // max(1, capacity // (64 if i % FINE == 0 else 2)))
+        bounds = [n * k // parts for k in range(parts + 1)] if parts else [0]
+        out += [(i, a, b - a) for a, b in zip(bounds, bounds[1:])]
+    return out
+
+
 def windows(sizes: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
     """Windows of (position, begin, length) pieces; every item lies wholly in them, no window exceeds the capacity."""
-    total = sum(sizes)
-    if not total:
-        return []
-    ways = max(1, -(-total // capacity))
-    out, surplus, room = [], [], []
-    for members in differencing(sizes, ways):
-        left, pieces = capacity, []
-        for i in sorted(members, key=lambda i: sizes[i]):
-            take = min(left, sizes[i])
-            if take:
-                pieces.append((i, 0, take))
-            if take < sizes[i]:
-                surplus.append((i, take, sizes[i] - take))
-            left -= take
-        out.append(pieces)
-        if left:
-            room.append((left, len(out) - 1))
-    room.sort(reverse=True)
-    for i, begin, length in sorted(surplus, key=lambda x: -x[2]):
-        while length:
-            left, k = room.pop(0)
-            take = min(left, length)
-            out[k].append((i, begin, take))
-            begin, length = begin + take, length - take
-            if left > take:
-                room.insert(0, (left - take, k))
-    return [x for x in out if x]
+    pieces = cut_up(sizes, capacity)
+    lengths = [n for _, _, n in pieces]
+    ways = -(-sum(lengths) // capacity)
+    while ways:
+        found = differencing(lengths, ways)
+        if all(sum(lengths[i] for i in members) <= capacity for members in found):
+            return [joined([pieces[i] for i in members]) for members in found if members]
+        ways += 1
+    return []
+
+
+def joined(pieces: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """In ascending order; pieces that follow each other in their item are one."""
+    out: list[tuple[int, int, int]] = []
+    for i, begin, length in sorted(pieces):
+        if out and out[-1][0] == i and out[-1][1] + out[-1][2] == begin:
+            out[-1] = (i, out[-1][1], out[-1][2] + length)
+        else:
+            out.append((i, begin, length))
+    return out
 
 
 class Packer:
@@ -138,7 +142,7 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int, capacity: int = 2048,
         hold_memory("encoder", encoder.cache_clear)
         own, packer = encoder(tokenizer), Packer(capacity, TaskContext.get().partitionId() << 33)
         end = np.array([end_id], np.int32)
-        for rows, texts in text_slices(batches, "text"):
+        for rows, texts in array_slices(batches, "text"):
             ids, sizes = own.encode(texts)
             ends = np.cumsum(sizes)
             for doc_id, a, b in zip(rows.column("doc_id").to_pylist(), ends - sizes, ends):
