@@ -1,11 +1,16 @@
 """Token counts by rank-synchronous merging: byte-pair merges on ragged numpy arrays, without the tokenizer's own code.
 
+Pre-tokens lie one after the other in one array; in each round every sequence's lowest-rank pair is applied at all its
+places at once. Long pre-tokens, which take many rounds of few merges, keep the places of each rank and look up only
+the pairs next to a merge, so their work does not grow as the square of their length.
+
 Null and empty texts have no tokens; repeated rows are counted each; an empty table gives no rows; only the id
 and text columns are read. Special strings inside a text are one token each, as is the library's default.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -18,8 +23,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Interned, hold_memory, text_slices
-from .tokens import BYTES, PIECES, cut_spaced, piece_text
+from .common import Interned, array_slices, as_list, hold_memory
+from .tokens import BYTES, PIECE_CHARS, PIECES, cut_spaced, ends_of
+
+#: Bytes from which a pre-token is long.
+LONG = 192
 
 
 class MergeCounter:
@@ -37,7 +45,8 @@ class MergeCounter:
         added = [x for x in spec.get("added_tokens") or [] if x["content"]]
         if any(x["lstrip"] or x["rstrip"] or x["single_word"] for x in added):
             raise ValueError(f"{path}: added tokens that take in their surroundings are not supported")
-        self.special = re.compile("|".join(re.escape(x["content"]) for x in sorted(added, key=lambda x: -len(x["content"])))) if added else None
+        self.names = sorted((x["content"] for x in added), key=lambda x: -len(x))
+        self.special = re.compile("|".join(map(re.escape, self.names))) if added else None
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         vocab = model["vocab"]
         self.byte_ids = np.array([vocab[x] for x in BYTES], np.int64)
@@ -47,12 +56,60 @@ class MergeCounter:
         made = np.array([vocab[a + b] for a, b in pairs], np.int64)
         key = left * self.size + right
         order = np.argsort(key, kind="stable")
-        self.keys, self.ranks, self.made = key[order], order.astype(np.int64), made[order]
+        self.keys, self.ranks, self.made, self.made_of = key[order], order.astype(np.int64), made[order], made
         self.none = np.int64(len(pairs))
         self._reset()
 
     def _reset(self) -> None:
-        self.memo, self.counts = Interned(), np.zeros(0, np.int64)
+        self.memo, self.counts, self.chars = Interned(), np.zeros(0, np.int64), 0
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Of pairs of symbols; none where no merge takes them."""
+        key = left * self.size + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], self.none)
+
+    def merge_long(self, word: bytes) -> int:
+        """Symbols that survive in one long word. Places are linked in both directions; each round takes all places of
+        the lowest rank, left to right."""
+        symbols = self.byte_ids[np.frombuffer(word, np.uint8)]
+        n = len(symbols)
+        after, before, alive = np.arange(1, n + 1), np.arange(-1, n - 1), np.ones(n, bool)
+        rank = np.append(self._ranks(symbols[:-1], symbols[1:]), self.none)
+        order = np.argsort(rank, kind="stable")
+        cuts = np.flatnonzero(np.diff(rank[order], prepend=-1))
+        places = {int(rank[order[a]]): [order[a:b]] for a, b in zip(cuts, [*cuts[1:], n]) if rank[order[a]] != self.none}
+        heap = sorted(places)
+        left = n
+        while heap:
+            now = heapq.heappop(heap)
+            at = np.unique(np.concatenate(places.pop(now)))
+            at = at[alive[at] & (rank[at] == now)]
+            # Of places that follow each other (a pair of equal symbols in a run) every second one counts, from the left.
+            new_run = np.ones(len(at), bool)
+            new_run[1:] = after[at[:-1]] != at[1:]
+            begin = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - begin) % 2 == 0]
+            if not len(at):
+                continue
+            gone = after[at]
+            symbols[at] = self.made_of[now]
+            alive[gone] = False
+            after[at] = after[gone]
+            inner = at[after[at] < n]
+            before[after[inner]] = inner
+            left -= len(at)
+            changed = np.union1d(at, before[at[before[at] >= 0]])
+            end = after[changed] >= n
+            fresh = self._ranks(symbols[changed], symbols[np.where(end, 0, after[changed])])
+            fresh[end] = self.none
+            rank[changed] = fresh
+            for r in np.unique(fresh[fresh != self.none]).tolist():
+                if r not in places:
+                    places[r] = []
+                    heapq.heappush(heap, r)
+                places[r].append(changed[fresh == r])
+        return left
 
     def merge(self, words: list[bytes]) -> np.ndarray:
         """Symbols that survive in each word.
@@ -94,38 +151,41 @@ class MergeCounter:
         pending = self.memo.pending
         if not pending:
             return
-        found = [self.pattern.findall(piece_text(x)) for x in pending]
+        found = [self.pattern.findall(x) for x in pending]
         distinct: dict[str, int] = {}
         at = np.fromiter((distinct.setdefault(x, len(distinct)) for x in chain.from_iterable(found)), np.int64)
         words = [x.encode() for x in distinct]
-        # Words of like length together: the long ones, which take many rounds, do not hold up the rest.
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        # Words of like length together: those that take many rounds do not hold up the rest.
+        order = sorted((i for i in range(len(words)) if len(words[i]) < LONG), key=lambda i: len(words[i]))
         counts = np.zeros(len(words), np.int64)
         for i in range(0, len(order), 50_000):
             some = order[i : i + 50_000]
             counts[some] = self.merge([words[j] for j in some])
-        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        total = np.concatenate([[0], np.cumsum(counts[at])])
-        self.counts = np.concatenate([self.counts, np.diff(total[np.concatenate([[0], ends])])])
+        for i, word in enumerate(words):
+            if len(word) >= LONG:
+                counts[i] = self.merge_long(word)
+        self.counts = np.concatenate([self.counts, ends_of(counts[at], np.fromiter(map(len, found), np.int64, len(found)))])
+        self.chars += sum(map(len, pending))
         pending.clear()
 
-    def count(self, texts: list[str]) -> np.ndarray:
-        if len(self.memo) > PIECES:
+    def count(self, texts: pa.Array | list[str]) -> np.ndarray:
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        if len(self.memo) > PIECES or self.chars > PIECE_CHARS:
             self._reset()
-        special = np.zeros(len(texts), np.int64)
-        pieces = []
-        for i, text in enumerate(texts):
-            if self.special and self.special.search(text):
-                parts = self.special.split(text)
-                special[i] = len(parts) - 1
-                pieces.append([y for x in parts for y in cut_spaced(x)])
-            else:
-                pieces.append(cut_spaced(text))
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        at = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(pieces)), np.int64, int(sizes.sum()))
+        special, parted = np.zeros(len(texts), np.int64), np.ones(len(texts), np.int64)
+        if self.special:
+            there = np.zeros(len(texts), bool)
+            for x in self.names:
+                there |= pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
+            if there.any():
+                parts = [self.special.split(t) if x else [t] for t, x in zip(as_list(texts), there)]
+                parted = np.fromiter(map(len, parts), np.int64, len(parts))
+                special, texts = parted - 1, pa.array(list(chain.from_iterable(parts)), pa.string())
+        pieces, at, sizes = cut_spaced(texts)
+        names = as_list(pieces)
+        own = np.fromiter(map(self.memo.__getitem__, names), np.int64, len(names))
         self._fill()
-        total = np.concatenate([[0], np.cumsum(self.counts[at])])
-        return np.diff(total[np.concatenate([[0], np.cumsum(sizes)])]) + special
+        return ends_of(ends_of(self.counts[own][at], sizes), parted) + special
 
 
 @lru_cache(maxsize=2)
@@ -139,7 +199,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, limit: int = 1024, id_col:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold_memory("counter", counter.cache_clear)
         own = counter(tokenizer)
-        for rows, texts in text_slices(batches, "text"):
+        for rows, texts in array_slices(batches, "text"):
             n = own.count(texts)
             sizes = pc.fill_null(pc.binary_length(rows.column("text")), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), sizes, pa.array(n), pa.array(n > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
