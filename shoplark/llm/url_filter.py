@@ -101,6 +101,8 @@ def filter_urls(urls: DataFrame, rules: DataFrame, *, default: str = "allow", id
 
             def keys() -> Iterator[tuple[bytes, str]]:
                 for batch in batches:
+                    if not batch.num_rows:
+                        continue
                     held.append(batch)
                     yield from zip(batch.column("key").to_pylist(), batch.column("path").to_pylist())
 
