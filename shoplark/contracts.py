@@ -134,11 +134,11 @@ def clean_rules(*, strict: bool = True) -> dict[str, Column]:
 
 
 def field_roles(columns: Sequence[str]) -> dict[str, list[str]]:
-    """Wide columns by role."""
-    key = [c for c in columns if c in WIDE_KEY]
-    tracking = [c for c in columns if c in WIDE_TRACKING]
-    prohibited = [c for c in columns if c in ("label", "is_synthetic")]
-    return {"primary_key": key, "tracking": tracking, "candidate": [c for c in columns if c not in {*key, *tracking, *prohibited}], "prohibited": prohibited}
+    """Wide columns by role. What identifies or tracks a row, and what says its answer, must not be a model's input."""
+    key = [c for c in WIDE_KEY if c in columns]
+    tracking = [c for c in WIDE_TRACKING if c in columns]
+    prohibited = [*key, *tracking, *(c for c in ("label", "is_synthetic") if c in columns)]
+    return {"primary_key": key, "tracking": tracking, "candidate": [c for c in columns if c not in prohibited], "prohibited": prohibited}
 
 
 def need_features(names: Sequence[str]) -> list[str]:

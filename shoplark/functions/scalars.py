@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+# Labels of equal-frequency bands.
 BAND_LABELS = {1: ("All",), 2: ("Low", "High"), 3: ("Low", "Medium", "High"), 4: ("Very Low", "Low", "High", "Very High"), 5: ("Very Low", "Low", "Medium", "High", "Very High")}
 
 
 def stripped(c: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -44,7 +45,7 @@ def numeric_id(c: Column) -> Column:
     """A positive whole number of up to 63 bits from text: exact where the text is an integer, else by way of a double ("1.0", "1e3")."""
     exact, approx = c.try_cast("bigint"), c.try_cast("double")
     usable = (approx == F.floor(approx)) & (approx > 0) & (approx < 2.0**63)
-    return F.when(exact > 0, exact).when(exact.isNull() & usable, approx.cast("bigint"))
+    return F.nullif(F.greatest(F.coalesce(exact, F.when(usable, approx.cast("bigint"))), F.lit(0)), F.lit(0))
 
 
 def dense_rank_desc(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:

@@ -21,7 +21,9 @@ def judged(raw: DataFrame) -> DataFrame:
     """Typed rows with reject_reason: the first of REASONS that applies, null for rows that stay."""
     need_columns(raw, RAW_COLUMNS, "raw log")
     others = [c for c in raw.columns if c not in RAW_COLUMNS]
-    text = raw.select(*(stripped(F.col(c).cast("string")).alias(c) for c in RAW_COLUMNS), *others)
+    # A generated row of one is a bound for the optimiser: filters and casts above refer to texts that are made once,
+    # where a projection would be written out anew in each of them.
+    text = raw.select(*others, F.inline(F.array(F.struct(*(stripped(F.col(c).cast("string")).alias(c) for c in RAW_COLUMNS)))))
     blank = [F.col(c).isNull() | (F.col(c) == "") for c in RAW_COLUMNS]
     missing = blank[0]
     for x in blank[1:]:

@@ -2,26 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import SPLITS, ContractError, need_rules
+from ..contracts import SPLITS, ContractError, HistoryWindow, need_rules
 
 LABEL_TRACKING = ("dataset_split", "user_id", "item_id", "category_id", "history_start", "history_end", "label_date")
 
 
-def label_day_purchases(wide: DataFrame, clean: DataFrame) -> DataFrame:
-    """Distinct (user_id, item_id, label_date) bought on one of the label days, which are a few values and reach the scan."""
-    days = [r[0] for r in wide.select("label_date").distinct().limit(100).collect()]
-    day = F.to_date("behavior_date")
-    bought = clean.where((F.col("behavior_type") == 4) & F.col("behavior_date").cast("string").isin([str(d) for d in days]))
-    return bought.select("user_id", "item_id", day.alias("label_date")).distinct()
+def purchases(clean: DataFrame, windows: Sequence[HistoryWindow] | None = None) -> DataFrame:
+    """Distinct (user_id, item_id, label_date) bought; with windows, on their label days only, which reaches the scan."""
+    bought = clean.where(F.col("behavior_type") == 4)
+    if windows is not None:
+        bought = bought.where(F.col("behavior_date").cast("string").isin(sorted({str(w.label_date) for w in windows})))
+    return bought.select("user_id", "item_id", F.to_date("behavior_date").alias("label_date")).distinct()
+
 
+def purchase_labels(wide: DataFrame, clean: DataFrame, windows: Sequence[HistoryWindow] | None = None) -> DataFrame:
+    """Every wide row with label 1 if exactly this user bought exactly this item on the label day, whatever days there are.
 
-def purchase_labels(wide: DataFrame, clean: DataFrame) -> DataFrame:
-    """Every wide row with label 1 if exactly this user bought exactly this item on the label day."""
+    windows, if they are known, only spare the purchases of other days the way to the join. The check is a pass of its
+    own over two columns, so wide should be a stored table.
+    """
+    if windows is not None:
+        known = [str(w.label_date) for w in windows]
+        need_rules(wide, {"label_date of no window": ~F.col("label_date").cast("string").isin(known)}, "wide table")
     need_rules(wide, {"label_date after history_end": F.col("label_date") <= F.col("history_end"), "dataset_split": ~F.col("dataset_split").isin(*SPLITS)}, "wide table")
-    bought = label_day_purchases(wide, clean).withColumn("_bought", F.lit(1))
+    bought = purchases(clean, windows).withColumn("_bought", F.lit(1))
     return wide.join(bought, ["user_id", "item_id", "label_date"], "left").select(*wide.columns, F.coalesce("_bought", F.lit(0)).cast("byte").alias("label"))
 
 

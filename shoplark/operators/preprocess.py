@@ -9,16 +9,18 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..contracts import PROTECTED, ContractError
 from ..functions.scalars import finite
+from ..sources.shared import stored
 
 #: Stands for a missing category; it has a code only if training rows had one.
 MISSING = "\u0000__MISSING__"
 UNSEEN = -1
 IDS = ("user_id", "item_id", "category_id")
-#: Distinct values of a categorical column that a rule set may hold.
-MOST_VALUES = 100_000
+#: Distinct values of a categorical column that are kept as a literal map; the codes of larger ones are a joined table.
+MOST_VALUES = 10_000
 
 
 def feature_roles(schema: T.StructType) -> tuple[list[str], list[str], list[str]]:
@@ -40,10 +42,12 @@ def feature_roles(schema: T.StructType) -> tuple[list[str], list[str], list[str]
 
 @dataclass
 class Rules:
-    """Mean, scale and fill of numeric columns; codes of categorical ones."""
+    """Mean, scale and fill of numeric columns; codes of categorical ones, or the Parquet table (value, code) of those
+    with many values."""
 
     numeric: dict[str, dict[str, float]] = field(default_factory=dict)
     categories: dict[str, dict[str, int]] = field(default_factory=dict)
+    tables: dict[str, str] = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), ensure_ascii=False, sort_keys=True)
@@ -62,7 +66,7 @@ def moments(train: DataFrame, numeric: list[str]) -> DataFrame:
     return train.agg(*parts)
 
 
-def fit_rules(train: DataFrame) -> Rules:
+def fit_rules(train: DataFrame, *, most_values: int = MOST_VALUES) -> Rules:
     """scale is the population deviation after filling with the mean: sqrt(variance * finite / rows); 1 where it is 0. All missing: 0, 0, 1."""
     numeric, categorical, _ = feature_roles(train.schema)
     row = moments(train, numeric).first()
@@ -73,14 +77,31 @@ def fit_rules(train: DataFrame) -> Rules:
         n, mean, var = row[f"{c}__n"], row[f"{c}__mean"], row[f"{c}__var"]
         scale = (var * n / row["n_rows"]) ** 0.5 if n else 1.0
         rules.numeric[c] = {"fill": mean if n else 0.0, "mean": mean if n else 0.0, "scale": scale if scale > 0 else 1.0}
-    for c in categorical:
-        values = [r[0] for r in train.select(F.coalesce(F.col(c), F.lit(MISSING)).alias(c)).distinct().limit(MOST_VALUES + 1).collect()]
-        if len(values) > MOST_VALUES:
-            raise ContractError(f"{c} has more than {MOST_VALUES} values; it is no category")
-        rules.categories[c] = {v: i for i, v in enumerate(sorted(values))}
+    if categorical:
+        pairs = F.array(*(F.struct(F.lit(c).alias("c"), F.coalesce(F.col(c), F.lit(MISSING)).alias("value")) for c in categorical))
+        values = stored(train.select(F.explode(pairs).alias("p")).select(F.col("p")["c"].alias("c"), F.col("p")["value"].alias("value")).distinct(), "categories")
+        sizes = {r.c: r.n for r in values.groupBy("c").agg(F.count("*").alias("n")).collect()}
+        small = sorted(c for c in categorical if sizes[c] <= most_values)
+        found = values.where(F.col("c").isin(small)).collect() if small else []
+        for c in categorical:
+            if c in small:
+                rules.categories[c] = {v: i for i, v in enumerate(sorted(r.value for r in found if r.c == c))}
+            else:
+                rules.tables[c] = code_table(values.where(F.col("c") == c).select("value"))
     return rules
 
 
+def code_table(values: DataFrame) -> str:
+    """The path of a table of distinct values and their places in sorted order, counted by ranges."""
+    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = stored(values.repartitionByRange(n, "value").sortWithinPartitions("value").withColumn("id", F.monotonically_increasing_id()), "ordered")
+    ordered = ordered.withColumn("part", F.shiftright("id", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ordered.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # a row a range
+    coded = ordered.join(F.broadcast(starts), "part").select("value", (F.col("start") + F.col("id").bitwiseAND((1 << 33) - 1)).alias("code"))
+    return stored(coded, "codes").stored_at
+
+
 def standardized(c: str, rule: Mapping[str, float]) -> Column:
     filled = F.coalesce(finite(F.col(c)), F.lit(float(rule["fill"])))
     return ((filled - F.lit(float(rule["mean"]))) / F.lit(float(rule["scale"]))).cast("float").alias(c)
@@ -95,9 +116,17 @@ def coded(c: str, codes: Mapping[str, int]) -> Column:
 
 
 def apply_rules(df: DataFrame, rules: Rules) -> DataFrame:
-    """Ids, label if there is one, standardised numeric columns (float) and codes (int); no shuffle, no join."""
+    """Ids, label if there is one, standardised numeric columns (float) and codes (int); no shuffle and no join but for
+    columns with many values."""
     head = [c for c in (*IDS, "label") if c in df.columns]
-    return df.select(*head, *(standardized(c, r) for c, r in rules.numeric.items()), *(coded(c, m) for c, m in rules.categories.items()))
+    out = df
+    for i, (c, path) in enumerate(rules.tables.items()):
+        codes = df.sparkSession.read.parquet(path).select(F.col("value").alias(f"_value{i}"), F.col("code").cast("int").alias(f"_code{i}"))
+        out = out.join(codes, F.coalesce(F.col(c), F.lit(MISSING)) == F.col(f"_value{i}"), "left")
+    joined = {c: F.coalesce(f"_code{i}", F.lit(UNSEEN)).cast("int").alias(f"{c}_code") for i, c in enumerate(rules.tables)}
+    order = [c for c in feature_roles(df.schema)[1] if c in rules.categories or c in joined]
+    order += [c for c in rules.categories if c not in order]
+    return out.select(*head, *(standardized(c, r) for c, r in rules.numeric.items()), *(joined[c] if c in joined else coded(c, rules.categories[c]) for c in order))
 
 
 def applied_counts(df: DataFrame, rules: Rules) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import ContractError, need_features
+from ..functions.scalars import finite
 from .preprocess import IDS
 
 # Fixed values of the screening rules.
@@ -43,20 +46,39 @@ def column_statistics(train: DataFrame, names: list[str]) -> DataFrame:
 
 
 def correlations(train: DataFrame, names: list[str]) -> DataFrame:
-    """feature_a, feature_b, r of every pair in column order; 0 where one does not vary. All pairs in one aggregate."""
-    pairs = list(combinations(names, 2))
-    if not pairs:
-        return train.sparkSession.createDataFrame([], "feature_a string, feature_b string, r double")
-    x = {c: F.col(c).cast("double") for c in names}
-
-    def pearson(a: Column, b: Column) -> Column:
-        a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-        return F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(a)) * F.sqrt(F.var_pop(b)))
+    """feature_a, feature_b, r of every pair in column order over the rows that have both; 0 where one does not vary.
 
-    one = train.agg(*(pearson(x[a], x[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)))
-    safe = lambda c: F.when(c.isNull() | F.isnan(c), 0.0).otherwise(c)
-    rows = F.array(*(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), safe(F.col(f"r{i}")).alias("r")) for i, (a, b) in enumerate(pairs)))
-    return one.select(F.explode(rows).alias("p")).select("p.*")
+    Each task adds up its rows' products as matrices (of shifted values, so that large means cost no digits) and gives
+    one row a pair; these are summed, so the work is one pass whatever the number of columns.
+    """
+    k = len(names)
+    if k < 2:
+        return train.sparkSession.createDataFrame([], "feature_a string, feature_b string, r double")
+    rows = train.select(*(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)))
+    means = rows.agg(*(F.avg(finite(F.col(f"x{i}"))).alias(f"x{i}") for i in range(k))).first()
+    shift = np.array([m or 0.0 for m in means])
+    first, second = np.triu_indices(k, 1)
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, k, k))
+        for batch in batches:
+            valid = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns], 1).astype(float)
+            x = np.stack([c.fill_null(0.0).to_numpy() for c in batch.columns], 1)
+            with np.errstate(invalid="ignore", over="ignore"):
+                x = (x - shift) * valid
+                sums, squares = x.T @ valid, (x * x).T @ valid
+                total += np.stack([valid.T @ valid, sums, sums.T, squares, squares.T, x.T @ x])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(first))), *(pa.array(t[first, second]) for t in total)], names=["pair", "n", "a", "b", "aa", "bb", "ab"])
+
+    parts = rows.mapInArrow(step, "pair long, n double, a double, b double, aa double, bb double, ab double")
+    s = parts.groupBy("pair").agg(*(F.sum(c).alias(c) for c in ("n", "a", "b", "aa", "bb", "ab")))
+    of = lambda x, y, xy: F.col(xy) - F.try_divide(F.col(x) * F.col(y), F.col("n"))
+    # What rounding leaves of a column without variance is no variance.
+    varies = lambda x, xx: F.when(of(x, x, xx) > F.col(xx) * 1e-12, of(x, x, xx))
+    r = F.try_divide(of("a", "b", "ab"), F.sqrt(varies("a", "aa")) * F.sqrt(varies("b", "bb")))
+    label = F.array(*map(F.lit, names))
+    pairs = train.sparkSession.createDataFrame([(p, int(a), int(b)) for p, (a, b) in enumerate(zip(first, second))], "pair long, i int, j int")
+    return s.join(F.broadcast(pairs), "pair").select(F.get(label, F.col("i")).alias("feature_a"), F.get(label, F.col("j")).alias("feature_b"), F.when(r.isNull() | F.isnan(r), 0.0).otherwise(r).alias("r"))
 
 
 def screen(train: DataFrame, names: list[str] | None = None) -> Screening:

@@ -118,6 +118,9 @@ def quality_rules() -> dict[str, Column]:
     for c in WIDE_COLUMNS:
         if (c.endswith(suffixes) or c in RATIOS) and c not in exempt:
             rules[f"negative_{c}"] = F.coalesce(col(c) < 0, F.lit(False))
+    for c in WIDE_COLUMNS:
+        if c in RATIOS or c.endswith(("_ratio", "_per_day", "_days_ago")) or c.startswith("user_avg_") or c == "user_days_since_last_event":
+            rules[f"infinite_{c}"] = F.coalesce(F.abs(col(c).cast("double")) == float("inf"), F.lit(False))
     for c in ("user_id", "item_id", "category_id", *(f"{x}_rank" for x in RANKED)):
         rules[f"not_positive_{c}"] = F.coalesce(col(c) <= 0, F.lit(False))
     name = "(?:pv|fav|cart|buy)"

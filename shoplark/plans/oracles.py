@@ -123,11 +123,22 @@ _corr = lambda a, b: f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(CASE
 _code = lambda c: f"coalesce((SELECT count(*) FROM (SELECT DISTINCT {c} AS v FROM train) WHERE v < l.{c}), 0)"
 _scaled = lambda c: f"round(CAST(CAST((coalesce(CAST(l.{c} AS DOUBLE), m.{c}_mean) - m.{c}_mean) / CASE WHEN m.{c}_scale > 0 THEN m.{c}_scale ELSE 1 END AS FLOAT) AS DOUBLE), 3) AS {c}"
 
+def _roles() -> str:
+    """Key and tracking fields, and the label, are prohibited as inputs; every other column is a candidate."""
+    key, tracking = ["dataset_split", "user_id", "item_id"], ["category_id", "history_start", "history_end", "label_date", "last_behavior_date"]
+    others = ["last_behavior_type", "last_behavior_hour", "last_behavior_days_ago", "last_10_behavior_sequence", *(f"user_{c}" for c in (*_USER_BASIC, *_USER_ACTIVITY)), *_ITEM, *(f"{c}_rank" for c in _RANKED), "buy_per_pv", "buy_per_fav", "buy_per_cart"]
+    others += [f"category_{c}" for c in ("active_day_count", "buy_count", "cart_count", "fav_count", "first_event_time", "last_event_time", "pv_count", "total_count", "unique_item_count", "unique_user_count")]
+    others += [f"time_{c}" for c in ("buy_count", "cart_count", "fav_count", "pv_count", "total_count", "unique_category_count", "unique_item_count", "unique_user_count", "weekday")]
+    rows = [("primary_key", c) for c in key] + [("tracking", c) for c in tracking] + [("candidate", c) for c in others] + [("prohibited", c) for c in [*key, *tracking, "label"]]
+    return f"SELECT * FROM (VALUES {', '.join(f"('{r}', '{c}')" for r, c in rows)}) t(role, field)"
+
+
 ORACLES = {
     "v2_contract_violations": sql("raw", "SELECT CAST(0 AS BIGINT) AS bad_time, count(*) FILTER (WHERE bt NOT IN (1, 2, 3, 4)) AS bad_behavior_type, count(*) FILTER (WHERE user_id <= 0) AS bad_user_id, count(*) FILTER (WHERE item_id <= 0) AS bad_item_id, count(*) FILTER (WHERE category_id <= 0) AS bad_item_category FROM raw"),
     "v7_items_of_several_categories": sql("hist", "SELECT c AS categories, count(*) AS items FROM (SELECT count(DISTINCT category_id) AS c FROM hist GROUP BY dataset_split, item_id) GROUP BY c"),
     "v9_duplicate_keys": sql("clean", "SELECT user_id, item_id, behavior_date, count(*) AS rows FROM clean GROUP BY ALL HAVING count(*) > 1"),
-    "v16_field_roles": "SELECT * FROM (VALUES ('primary_key', CAST(3 AS BIGINT)), ('tracking', 5), ('candidate', 56), ('prohibited', 1)) t(role, columns)",
+    "v16_field_roles": _roles(),
+    "d22_broken_rows": sql("wide", "SELECT * FROM (SELECT unnest([{'rule': 'negative_item_total_count', 'rows': count(*) FILTER (WHERE user_id % 10 = 3)}, {'rule': 'hour_range', 'rows': count(*) FILTER (WHERE item_id % 11 = 0)}, {'rule': 'infinite_buy_per_pv', 'rows': count(*) FILTER (WHERE user_id % 7 = 0)}, {'rule': 'active_ratio_range', 'rows': count(*) FILTER (WHERE user_id % 13 = 0)}, {'rule': 'bad_last_behavior_type', 'rows': count(*) FILTER (WHERE item_id % 17 = 0)}, {'rule': 'sequence_tail', 'rows': count(*) FILTER (WHERE item_id % 17 = 0)}, {'rule': 'not_positive_item_buy_count_rank', 'rows': count(*) FILTER (WHERE item_id % 19 = 0)}], recursive := true) FROM wide) WHERE rows > 0"),
     "d1_clean_rows": sql("clean", "SELECT time, user_id, item_id, category_id, behavior_type, behavior_name, behavior_date, behavior_hour, weekday FROM clean"),
     "d1_rejected_counts": sql("raw", "SELECT count(*) AS input_rows, CAST(0 AS BIGINT) AS removed_missing_rows, CAST(0 AS BIGINT) AS removed_invalid_id_rows, count(*) FILTER (WHERE bt = 9) AS removed_invalid_behavior_rows, CAST(0 AS BIGINT) AS removed_invalid_time_rows, count(*) FILTER (WHERE bt <> 9) AS kept_rows FROM raw"),
     "d2_clean_log": sql("clean", "SELECT time, user_id, item_id, category_id, behavior_type, behavior_name, behavior_date, behavior_hour, weekday, source_order FROM clean QUALIFY count(*) OVER (PARTITION BY behavior_date, user_id, behavior_type) < 3 OR row_number() OVER (PARTITION BY behavior_date, user_id, behavior_type ORDER BY source_order) = 1"),

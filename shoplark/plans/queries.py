@@ -11,6 +11,7 @@ from ..contracts import field_roles, raw_rules, violations
 from ..functions.ordering import chance
 from ..operators import cleaning, dashboard, eda, features, imbalance, labels, metrics, preprocess, quality, screening, wide
 from ..sources.events import EVENT_WINDOWS, events_table, raw_log
+from ..sources.shared import stored
 from .windows import in_windows, window_table
 
 #: In the test tables no behaviour repeats within an hour, so the rule for repeats is applied to days here.
@@ -45,11 +46,15 @@ def tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def wide_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return wide.wide_table(tables(spark, sf))
+    """Eight tables read the clean log, so it is kept first."""
+    return wide.wide_table(features.feature_tables(stored(clean(spark, sf), "clean"), EVENT_WINDOWS))
 
 
 def labeled(spark: SparkSession, sf: str) -> DataFrame:
-    return labels.purchase_labels(wide_rows(spark, sf), clean(spark, sf))
+    """Kept, as a pipeline of stages keeps it: checks, fits and scores read it again."""
+    log = stored(clean(spark, sf), "clean")
+    rows = stored(wide.wide_table(features.feature_tables(log, EVENT_WINDOWS)), "wide")
+    return stored(labels.purchase_labels(rows, log, EVENT_WINDOWS), "labeled")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -92,7 +97,7 @@ def v9_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def v16_field_roles(spark: SparkSession, sf: str) -> DataFrame:
     roles = field_roles([*wide.WIDE_COLUMNS, "label"])
-    return spark.createDataFrame([(r, len(c)) for r, c in roles.items()], "role string, columns long")
+    return spark.createDataFrame([(r, c) for r, names in roles.items() for c in names], "role string, field string")
 
 
 @query
@@ -207,6 +212,23 @@ def d22_wide_quality(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("rows", broken.cast("long").alias("broken_rules"), nulls.cast("long").alias("unexpected_nulls"), *(f"null_{c}" for c in wide.RATIOS))
 
 
+@query
+def d22_broken_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rules on a wide table with planted faults, one row a rule that is broken."""
+    faults = {
+        "item_total_count": F.when(F.col("user_id") % 10 == 3, -F.col("item_total_count")).otherwise(F.col("item_total_count")),
+        "last_behavior_hour": F.when(F.col("item_id") % 11 == 0, 25).otherwise(F.col("last_behavior_hour")),
+        "buy_per_pv": F.when(F.col("user_id") % 7 == 0, float("inf")).otherwise(F.col("buy_per_pv")),
+        "user_active_day_ratio": F.when(F.col("user_id") % 13 == 0, 1.5).otherwise(F.col("user_active_day_ratio")),
+        "last_behavior_type": F.when(F.col("item_id") % 17 == 0, "other").otherwise(F.col("last_behavior_type")),
+        "item_buy_count_rank": F.when(F.col("item_id") % 19 == 0, 0).otherwise(F.col("item_buy_count_rank")),
+    }
+    one = wide.wide_quality(wide_rows(spark, sf).withColumns(faults))
+    names = list(wide.quality_rules())
+    rows = one.select(F.explode(F.array(*(F.struct(F.lit(n).alias("rule"), F.col(n).alias("rows")) for n in names))).alias("r")).select("r.*")
+    return rows.where("rows > 0")
+
+
 # ---- descriptive statistics ----
 
 

@@ -275,3 +275,48 @@ def test_funnel_without_views(spark):
     clean = cleaning.clean_rows(raw(spark, [("2025-11-18 09", "1", "10", "1", "4")]))
     assert {r.stage: r.relative_to_pv_percentage for r in eda.descriptive_funnel(clean).collect()} == {"PV": 0.0, "Favorite": 0.0, "Cart": 0.0, "Purchase": 0.0}
     assert [r.percentage for r in eda.behavior_distribution(clean.limit(0)).collect()] == [None] * 4
+
+
+def test_labels_of_any_number_of_days(spark):
+    from datetime import date, timedelta
+
+    from shoplark.operators.labels import purchase_labels
+
+    days = [date(2025, 1, 1) + timedelta(days=2 * i) for i in range(130)]
+    wide = spark.createDataFrame([("train", i, 1, d - timedelta(days=1), d) for i, d in enumerate(days)], "dataset_split string, user_id long, item_id long, history_end date, label_date date")
+    clean = spark.createDataFrame([(i, 1, 4, str(d)) for i, d in enumerate(days)] + [(0, 1, 4, str(days[1])), (1, 1, 1, str(days[1]))], "user_id long, item_id long, behavior_type int, behavior_date string")
+    assert {r.label for r in purchase_labels(wide, clean).collect()} == {1}
+
+
+def test_columns_of_many_categories_have_the_same_codes(spark):
+    from shoplark.operators.preprocess import apply_rules, fit_rules
+
+    rows = [(i, 1, 2, float(i), f"v{i * 7 % 50}" if i % 9 else None, "ab"[i % 2]) for i in range(120)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, category_id long, x double, kind string, side string").repartition(5)
+    unseen = spark.createDataFrame([(900, 1, 2, None, "new", "a")], df.schema)
+    few, many = fit_rules(df), fit_rules(df, most_values=10)
+    assert set(many.tables) == {"kind"} and set(few.categories) == {"kind", "side"}
+    both = [sorted(map(tuple, apply_rules(df.unionByName(unseen), r).collect())) for r in (few, many)]
+    assert both[0] == both[1] and both[0][-1][-2:] == (-1, 0)
+    assert apply_rules(df, few).columns == apply_rules(df, many).columns
+
+
+def test_correlations_of_rows_that_have_both(spark):
+    import numpy as np
+    import pandas as pd
+
+    from shoplark.operators.screening import correlations
+
+    rng = np.random.default_rng(4)
+    x = pd.DataFrame(rng.normal(size=(500, 6)), columns=list("abcdef"))
+    x["b"] = 1e9 + x["a"] * 3
+    x["c"] = 7.0
+    x.loc[rng.random(500) < 0.3, "d"] = np.nan
+    x.loc[rng.random(500) < 0.5, "e"] = np.nan
+    x["f"] = x["d"] + x["e"]
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in x.to_numpy()]
+    got = {(r.feature_a, r.feature_b): r.r for r in correlations(spark.createDataFrame(rows, list("abcdef")).repartition(3), list("abcdef")).collect()}
+    want = x.corr()
+    for (a, b), r in got.items():
+        assert abs(r - (0.0 if np.isnan(want.loc[a, b]) else want.loc[a, b])) < 1e-6
+    assert len(got) == 15
