@@ -16,9 +16,15 @@ class BoostedTrees:
     base: float
 
     def bins(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(self.edges)], 1).astype(np.uint8)
+        out = np.empty(x.shape, np.uint8)
+        for j, e in enumerate(self.edges):
+            out[:, j] = np.searchsorted(e, x[:, j], "left")
+        return out
 
-    def margin(self, x: np.ndarray) -> np.ndarray:
+    def margin(self, x: np.ndarray, block: int = 16_384) -> np.ndarray:
+        """Log-odds of the rows; a block of them is binned at a time, which bounds the memory for large pages."""
+        if len(x) > block:
+            return np.concatenate([self.margin(x[i : i + block]) for i in range(0, len(x), block)])
         binned, out, rows = self.bins(x), np.full(len(x), self.base), np.arange(len(x))
         inner = self.features.shape[1]
         depth = (inner + 1).bit_length() - 1

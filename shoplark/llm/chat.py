@@ -53,7 +53,7 @@ def parsed(messages: DataFrame, conv_col: str, turn_col: str, role_col: str, tex
         "turn",
         "role",
         F.expr(rf"regexp_replace(trim(BOTH '\n' FROM array_join(transform({own}, x -> rtrim(x.words)), '\n')), '\n{{3,}}', '\n\n')").alias("clean"),
-        F.expr(f"array_distinct(transform(filter({units}, u -> u.said <> ''), u -> struct(u.level AS level, xxhash64(u.said) AS h1, hash(u.said) AS h2)))").alias("units"),
+        F.expr(f"transform(filter({units}, u -> u.said <> ''), u -> struct(u.level AS level, xxhash64(u.said) AS h1, hash(u.said) AS h2))").alias("units"),
     )
 
 
@@ -98,8 +98,7 @@ def branches(turns: DataFrame, links: DataFrame) -> DataFrame:
     begun = stored(begun, "branches")
     # The branch that a quoted message is in: the last that begins at or before it.
     events = begun.select("conv_id", F.col("begin").alias("turn"), F.col("begin").alias("start"), F.lit(None).cast("long").alias("of")).unionByName(begun.select("conv_id", F.col("at").alias("turn"), F.lit(None).cast("long").alias("start"), F.col("begin").alias("of")))
-    upto = Window.partitionBy("conv_id").orderBy("turn").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    above = events.withColumn("up", F.max("start").over(upto)).where("of is not null").select("conv_id", F.col("of").alias("begin"), "up")
+    above = _latest(events, "start").where("of is not null").select("conv_id", F.col("of").alias("begin"), F.col("latest").alias("up"))
     paths = stored(begun.join(above, ["conv_id", "begin"]).select("conv_id", "begin", "up", F.array("at", "begin").alias("path")), "paths")
     while paths.where("up is not null").limit(1).count():
         there = paths.select("conv_id", F.col("begin").alias("up"), F.col("up").alias("further"), F.col("path").alias("front"))
@@ -142,14 +141,20 @@ def _before(turns: DataFrame) -> DataFrame:
 def _held(turns: DataFrame, paths: DataFrame) -> DataFrame:
     """conv_id, turn, path of the branch that each message is in (the last one that begins at or before it)."""
     rows = turns.select("conv_id", "turn", F.lit(None).cast("long").alias("begin")).unionByName(paths.select("conv_id", F.col("begin").alias("turn"), "begin"))
+    found = _latest(rows, "begin").where("begin is null and latest is not null").select("conv_id", "turn", F.col("latest").alias("begin"))
+    return found.join(paths, ["conv_id", "begin"]).select("conv_id", "turn", "path")
+
+
+def _latest(rows: DataFrame, value: str) -> DataFrame:
+    """Adds latest, the greatest value at or before each turn of a conversation, by spans of turns: a span is sorted in
+    one task, and only the greatest value of each span is carried over the spans."""
     rows = rows.withColumn("span", F.floor(F.col("turn") / SPAN))
-    ends = rows.groupBy("conv_id", "span").agg(F.max("begin").alias("last"))
+    ends = rows.groupBy("conv_id", "span").agg(F.max(value).alias("last"))
     over = Window.partitionBy("conv_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select("conv_id", "span", F.max("last").over(over).alias("carried"))
     upto = Window.partitionBy("conv_id", "span").orderBy("turn").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    near = rows.withColumn("near", F.max("begin").over(upto)).where("begin is null")
-    found = near.join(carried, ["conv_id", "span"]).select("conv_id", "turn", F.coalesce("near", "carried").alias("begin")).where("begin is not null")
-    return found.join(paths, ["conv_id", "begin"]).select("conv_id", "turn", "path")
+    near = rows.withColumn("near", F.max(value).over(upto))
+    return near.join(carried, ["conv_id", "span"]).withColumn("latest", F.coalesce("near", "carried")).drop("near", "carried", "span")
 
 
 def _positions(rows: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,6 +9,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.shared import forget, shared_path, stored
+
+__all__ = ["forget", "shared_path", "stored"]
+
 #: Texts handled together inside a Python worker; bounds the memory of one step whatever Arrow's batch size is.
 SLICE_BYTES = 2 << 20
 
@@ -19,22 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder that all executors share (spark.checkpoint.dir); a temporary one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='shoplark-')}"
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage in a way that survives lost executors."""
-    spark, path = df.sparkSession, shared_path(df.sparkSession, label)
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def slices(sizes: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose sizes sum to about limit; one larger row is a range of its own."""
     begin, total = 0, 0

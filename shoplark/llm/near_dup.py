@@ -18,7 +18,7 @@ Documents are linked if 100 * intersection >= 75 * union.
 Estimates only set aside pairs whose estimate is more than four standard errors below the threshold.
 
 Rows with a null doc_id are returned as kept, without a component. Repeated rows are of one component; rows that
-share a doc_id are one node. An empty table gives no rows. Only the id and text columns are read.
+share a doc_id are one node, whatever their texts: what is near to one of them is in one component with all. An empty table gives no rows. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hold_memory, map_arrow, mix64, stored, text_slices
+from .common import forget, hold_memory, map_arrow, mix64, stored, text_slices
 
 BANDS, ROWS = 32, 4
 BUCKETS = BANDS * ROWS
@@ -39,8 +39,10 @@ BUCKET_BITS, MANTISSA_BITS = 7, 10
 NO_HASH = 0xFFFF
 #: Words that one worker keeps the hashes of.
 WORDS = 300_000
-#: Classes of one key's group that are searched together, and bytes of full sets; beyond, blocks meet in pairs.
-BLOCK, SET_BYTES = 4096, 8 << 20
+#: Classes of one key's group that are searched together, and classes and bytes of full sets; beyond, blocks meet in pairs.
+BLOCK, SET_ROWS, SET_BYTES = 4096, 1024, 8 << 20
+#: Bits of the map of ids that is sent to all tasks, at least and at most (16 MB); for more ids the texts are joined.
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
 
 
 class WordHashes(dict):
@@ -212,14 +214,20 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, set (sorted hashes as bytes) of the documents in ids, from their whole texts.
 
-    A bitmap of hashed ids (1 MB at most) is tested before texts are looked at, and the exact join comes after: the
-    texts are not shuffled, and a full bitmap would only let more of them through.
+    A bitmap of hashed ids, sixteen bits an id, is tested before texts are looked at, and the exact join comes after:
+    the texts are not shuffled. For more ids than the largest map is good for, texts are joined with the ids first.
     """
-    bit = F.pmod(F.xxhash64("id"), F.lit(1 << 23)) + 1
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text")).where("id is not null")
+    count = ids.count()
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * count).bit_length()))
+    if 4 * count > MOST_BITS:
+        rows = rows.join(ids.select("id"), "id", "left_semi")
+    bit = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
     maps = ids.select(bit.alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits"))
-    bitmap = np.zeros((1 << 23) // 8, np.uint8)
-    for r in maps.collect():  # 256 rows of 4 KB at most; positive numbers begin with bucket 1
-        bitmap[(r.bucket - 1) * 4096 : r.bucket * 4096] = np.frombuffer(bytes(r.bits), np.uint8)
+    bitmap = np.zeros(bits // 8, np.uint8)
+    for r in maps.toLocalIterator():  # 4,096 rows of 4 KB at most; positive numbers begin with bucket 1
+        part = bitmap[(r.bucket - 1) * 4096 : r.bucket * 4096]
+        part[:] = np.frombuffer(bytes(r.bits), np.uint8)[: len(part)]
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +238,6 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> Da
             for rows, texts in text_slices([batch.filter(pa.array(there.astype(bool)))], "text"):
                 yield pa.RecordBatch.from_arrays([rows.column("id"), pa.array([x.tobytes() for x in shingle_sets(texts)], pa.binary())], names=["id", "set"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text")).where("id is not null")
     found = map_arrow(rows.withColumn("bit", bit).select("id", "text", "bit"), step, "id long, set binary")
     return found.join(ids.select("id"), "id", "left_semi").dropDuplicates(["id", "set"])
 
@@ -262,8 +269,8 @@ def is_linked(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
 def confirmed_edges(docs: DataFrame, clusters: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
     """Trees (a, b) of confirmed links within clusters (id, comp)."""
     sets = stored(full_sets(docs, clusters, id_col, text_col).join(clusters, "id"), "sets", compression="none")
-    sizes = sets.groupBy("comp").agg(F.sum(F.length("set")).alias("bytes"))
-    dealt = in_block_pairs(sets.join(sizes, "comp"), F.ceil(F.col("bytes") / SET_BYTES))
+    sizes = sets.groupBy("comp").agg(F.sum(F.length("set")).alias("bytes"), F.count("*").alias("rows"))
+    dealt = in_block_pairs(sets.join(sizes, "comp"), F.greatest(F.ceil(F.col("bytes") / SET_BYTES), F.ceil(F.col("rows") / SET_ROWS)))
     met = dealt.select("comp", "i", "j", "id", "set").repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,8 +300,11 @@ def components(edges: DataFrame) -> DataFrame:
         moved = labels.join(near.withColumnRenamed("a", "id"), "id").select("id", "comp", F.least("comp", "m").alias("to"))
         there = labels.select(F.col("id").alias("to"), F.col("comp").alias("jump"))
         after = stored(moved.join(there, "to", "left").select("id", F.col("comp").alias("was"), F.least("to", "jump").alias("comp")), "labels")
-        labels = after.select("id", "comp")
-        if not after.where("was <> comp").limit(1).count():
+        last, labels = labels, after.select("id", "comp")
+        labels.stored_at = after.stored_at
+        forget(last)
+        if after.where("was <> comp").isEmpty():
+            forget(both)
             return labels
 
 
@@ -307,15 +317,24 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
     keyed = classes.select("id", F.posexplode("regs")).where("col <> -1").select(F.xxhash64("pos", "col").alias("key"), "id")
     shared = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     near = stored(candidate_edges(keyed.join(shared, "key"), classes, threshold), "candidates")
-    labels = None
-    if not near.isEmpty():
-        links = stored(confirmed_edges(docs, components(near), threshold, id_col, text_col), "links")
-        labels = None if links.isEmpty() else components(links)
+    links = None if near.isEmpty() else stored(confirmed_edges(docs, components(near), threshold, id_col, text_col), "links")
 
     names = classes.select(F.col("set_hi"), F.col("set_lo"), F.col("n").alias("n_shingles"), F.col("id"))
+    # Different texts under one id link the classes that they are in.
+    several = usable.groupBy("doc_id").agg(*(f(c).alias(f"{n}_{c}") for c in print_of for n, f in (("low", F.min), ("high", F.max)))).where(" or ".join(f"low_{c} <> high_{c}" for c in print_of))
+    several = stored(several.select("doc_id"), "several")
+    if not several.isEmpty():
+        of = usable.join(several, "doc_id", "left_semi").join(names, print_of).where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+        links = stored(of if links is None else links.unionByName(of), "links")
+    labels = None if links is None or links.isEmpty() else components(links)
     if labels is not None:
         names = names.join(labels, "id", "left")
     names = names.select(*print_of, (F.coalesce("comp", "id") if labels is not None else F.col("id")).alias("component_id"))
     joined = rows.select("doc_id", *print_of).join(names, print_of, "left")
+    empty = stored(rows.where("doc_id is not null and n_shingles = 0").select("doc_id").distinct().join(usable.select("doc_id"), "doc_id", "left_semi"), "empty")
+    if not empty.isEmpty():
+        # A row without words is of the component that the other rows of its id are in.
+        own = joined.join(empty, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("own"))
+        joined = joined.join(own, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "own"))
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component_id", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -87,9 +87,9 @@ def test_few_labels_of_a_class_have_a_model(rare):
 
 def test_all_labels_of_a_rare_class_are_drawn(spark):
     docs, labels, _ = corpus(spark, 1500)
-    toxic = labels.where("toxic = 1").limit(12).select("doc_id")
-    skewed = labels.where("toxic = 0").unionByName(labels.join(toxic, "doc_id", "left_semi")).localCheckpoint()
-    model = train_classifier(docs, skewed, labelled_rows=200, unlabelled_rows=200)
+    toxic = labels.where("toxic = 1").orderBy("doc_id").limit(12).select("doc_id")
+    skewed = labels.where("toxic = 0").unionByName(labels.join(toxic, "doc_id", "left_semi"))
+    model = train_classifier(docs, skewed, labelled_rows=200, pseudo_rows=100)
     assert model.toxic is not None and model.good is not None
     p = {r.doc_id: r.p_toxic for r in classify(docs.join(skewed, "doc_id", "left_semi"), model).collect()}
     found = {r.doc_id for r in toxic.collect()}

@@ -44,7 +44,8 @@ def near_copies(rng, count, group):
 
 def test_links_equal_brute_force(spark):
     rng = random.Random(11)
-    values = [t for t in texts() if t is None or len(t) < 50_000] + near_copies(rng, 120, 5) + near_copies(rng, 4, 60)
+    long = [t for t in texts() if t and len(t) >= 50_000]
+    values = texts() + [long[0] + " one more", long[0].upper()] + near_copies(rng, 120, 5) + near_copies(rng, 4, 60)
     got = sorted(map(tuple, near_duplicates(documents(spark, values)).collect()))
     assert got == brute(values)
     assert sum(not r[3] for r in got) > 150
@@ -80,6 +81,22 @@ def test_null_ids_repeats_and_empty_table(spark):
     assert near_duplicates(rows.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_one_node(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (9, b), (9, ""), (11, b + " more"), (12, c), (13, ""), (14, c), (14, a + " more")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(3, 3), (5, 3), (9, 3), (11, 3), (12, 3), (13, 13), (14, 3)}
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got) and len(got) == len(rows)
+
+
+def test_more_ids_than_the_map_is_good_for(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "MOST_BITS", 1 << 6)
+    monkeypatch.setattr(near_dup, "LEAST_BITS", 1 << 6)
+    monkeypatch.setattr(near_dup, "SET_ROWS", 4)
+    values = near_copies(random.Random(5), 12, 9)
+    assert sorted(map(tuple, near_duplicates(documents(spark, values)).collect())) == brute(values)
+
+
 def test_estimates_are_near_the_truth():
     rng = np.random.default_rng(1)
     for truth in (0.0, 0.5, 0.75, 0.9):

@@ -29,7 +29,7 @@ def brute_contamination(text, items, window=10):
         for i in range(len(words) - size + 1 if size else 0):
             if tuple(words[i : i + size]) in grams:
                 hit.update(range(i, i + size))
-                found.add(str(item_id))
+                found.add("" if item_id is None else str(item_id))
     return len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
 
 
@@ -37,8 +37,8 @@ def test_decontamination_equals_brute_force_in_any_number_of_blocks(spark):
     rng = random.Random(5)
     vocab = ["a", "b", "c", "dé", "E", "f9"]
     items = [(i, " ".join(rng.choice(vocab) for _ in range(n))) for i, n in enumerate((1, 2, 3, 9, 10, 11, 14, 30, 12, 10))]
-    items += [(90, None), (91, ""), (92, "?!"), (93, items[7][1]), (10, "zz yy zz yy"), (11, "zz")]
-    values = texts() + [items[7][1] * 3, "x " + items[5][1].upper().replace(" ", "--") + " y", items[6][1][3:], "zz " * 50]
+    items += [(90, None), (91, ""), (92, "?!"), (93, items[7][1]), (10, "zz yy zz yy"), (11, "zz"), (None, "qq rr ss"), (None, "zz zz")]
+    values = texts() + [items[7][1] * 3, "x " + items[5][1].upper().replace(" ", "--") + " y", items[6][1][3:], "zz " * 50, "a qq rr ss", "x " * 3000 + items[7][1], "qq rr", "ss zz"]
     values += [" ".join(rng.choice(vocab) for _ in range(400)) for _ in range(10)]
     bench = spark.createDataFrame([(*x, "clash") for x in items], "item_id long, text string, doc_id string")
     for size in (1 << 20, 64):
