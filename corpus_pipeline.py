@@ -1,4 +1,9 @@
-"""From raw documents to packed training windows: five stages, each written as Parquet and read again."""
+"""From raw documents to packed training windows: five stages, each written as Parquet and read again.
+
+Rows keep all their columns, whatever they are called, up to the last stage. Null and empty texts have no words, so the
+base rules of the second stage take them out; later stages keep them, and packing gives them one end id each. Null ids
+and repeated rows are judged each; near_dedup says what stays of them. Empty tables give no rows.
+"""
 
 from __future__ import annotations
 
