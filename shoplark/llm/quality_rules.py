@@ -16,7 +16,6 @@ text and language columns are read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 from functools import lru_cache
