@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .contracts import DEFAULT_WINDOWS, ContractError, windows_of
-from .operators import cleaning, dashboard, eda, features, imbalance, labels, metrics, preprocess, quality, screening, wide
+from .operators import cleaning, dashboard, eda, features, imbalance, inference, labels, metrics, models, preprocess, quality, runs, screening, wide
 from .sources import files
 
 
@@ -49,7 +49,7 @@ def clean(spark, a):
 
 
 def describe(spark, a):
-    return {"written": files.write_tables(eda.eda_tables(spark.read.parquet(a.input)), a.output, kind="csv", mode=a.mode)}
+    return {"written": files.write_tables(eda.eda_tables(spark.read.parquet(a.input)), a.output, kind="csv", mode=a.mode, bom=True)}
 
 
 def intermediate(spark, a):
@@ -82,32 +82,92 @@ def split(spark, a):
     labeled = spark.read.parquet(a.input)
     labels.time_ordered_splits(labeled)
     labels.write_splits(labeled, a.output, mode=a.mode)
-    return {"rows": spark.read.parquet(a.output).count()}
+    return {"rows": need_rows(labeled, spark.read.parquet(a.output), "splits")}
+
+
+def need_rows(before, after, what: str) -> int:
+    had, has = before.count(), after.count()
+    if had != has:
+        raise ContractError(f"{what}: {had} rows went in, {has} came out")
+    return has
 
 
 def prepare(spark, a):
-    rules, out = preprocess.preprocess({s: spark.read.parquet(f"{a.input}/dataset_split={s}") for s in ("train", "validation", "test")})
-    with open(a.rules, "w", encoding="utf-8") as file:
-        file.write(rules.to_json())
-    return {"written": files.write_tables(out, a.output, mode=a.mode)}
+    splits = {s: spark.read.parquet(f"{a.input}/dataset_split={s}") for s in ("train", "validation", "test")}
+    rules, out = preprocess.preprocess(splits)
+    files.write_text(spark, rules.to_json(), a.rules, overwrite=True)
+    written = files.write_tables(out, a.output, mode=a.mode)
+    return {"written": written, "rows": {s: need_rows(d, spark.read.parquet(f"{a.output}/{s}"), s) for s, d in splits.items()}}
 
 
 def select(spark, a):
     splits = {s: spark.read.parquet(f"{a.input}/{s}") for s in ("train", "validation", "test")}
     found = screening.screen(splits["train"])
     files.write_tables({s: screening.apply_selection(d, found.selected) for s, d in splits.items()}, a.output, mode=a.mode)
+    files.write_json(spark, {"selected_features": found.selected, "removed": found.removed}, f"{a.output}/features.json", overwrite=a.mode == "overwrite")
     return {"selected": found.selected, "removed": found.removed}
 
 
 def balance(spark, a):
     train = spark.read.parquet(a.input)
-    return {"written": files.write_tables(imbalance.variants(train, screening.candidates(train)), a.output, mode=a.mode)}
+    files.write_tables(imbalance.variants(train, screening.candidates(train)), a.output, mode=a.mode)
+    made = {s: imbalance.class_statistics(spark.read.parquet(f"{a.output}/{s}")).first().asDict() for s in models.STRATEGIES}
+    manifest = {"training_strategy_statistics": made, "paths": {s: f"{a.output}/{s}" for s in made}, "seed": imbalance.SEED, "splits_changed": ["train"]}
+    files.write_json(spark, manifest, f"{a.output}/manifest.json", overwrite=a.mode == "overwrite")
+    return manifest
 
 
 def evaluate(spark, a):
     return metrics.evaluate(spark.read.parquet(a.input), a.threshold).first().asDict()
 
 
+def _fitting_rows(spark, folder: str):
+    """Training and validation rows and their features; test rows are not touched."""
+    train, validation = spark.read.parquet(f"{folder}/train"), spark.read.parquet(f"{folder}/validation")
+    names = screening.candidates(train)
+    return models.load_matrix(train, names), models.load_matrix(validation, names), names
+
+
+def _candidates(text: str | None):
+    names = text.split(",") if text else [f"{s}__{m}" for s in models.STRATEGIES for m in models.MODELS]
+    return [models.Candidate.parse(n) for n in names]
+
+
+def train(spark, a):
+    return {"comparison": [r.asDict() for r in runs.run_matrix(*_fitting_rows(spark, a.input), _candidates(a.candidates), a.output, overwrite=a.mode == "overwrite").collect()]}
+
+
+def tune(spark, a):
+    found = runs.run_tuning(*_fitting_rows(spark, a.input), _candidates(a.candidates), a.output, trials=a.trials, earlier=a.earlier, overwrite=a.mode == "overwrite")
+    return {"comparison": [r.asDict() for r in found.collect()]}
+
+
+def stack(spark, a):
+    best = models.distinct_families(spark.read.parquet(f"{a.tuned}/comparison"), a.bases).collect()
+    params = files.read_json(spark, f"{a.tuned}/parameters.json")
+    bases = [models.Candidate(r.strategy, r.model, tuple(params[f"{r.strategy}__{r.model}"].items())) for r in best]
+    return runs.run_stacking(*_fitting_rows(spark, a.input), bases, a.output, k=a.folds, overwrite=a.mode == "overwrite")
+
+
+def final(spark, a):
+    return runs.final_evaluation(spark.read.parquet(f"{a.input}/test"), a.run_folder, a.output)
+
+
+def explain(spark, a):
+    model = models.load(a.model)
+    rules = preprocess.Rules(**files.read_json(spark, a.rules))
+    return runs.interpretation(model, spark.read.parquet(a.input), rules, a.output, mode=a.mode)
+
+
+def infer(spark, a):
+    contract, model = inference.load_contract(spark, a.config)
+    return inference.run_inference(spark, a.input, a.output, model, contract, mode=a.mode)
+
+
+def setup(spark, a):
+    return {"tables": files.create_behavior_table(spark, a.name or "user_behavior")}
+
+
 COMMANDS = {
     "convert": (convert, ("input", "output", "--overwrite")),
     "quality": (check, ("input", "output")),
@@ -123,6 +183,13 @@ COMMANDS = {
     "select": (select, ("input", "output")),
     "balance": (balance, ("input", "output")),
     "evaluate": (evaluate, ("input", "--threshold=0.5")),
+    "train": (train, ("input", "output", "--candidates")),
+    "tune": (tune, ("input", "output", "--candidates", "--earlier", "--trials=5")),
+    "stack": (stack, ("input", "tuned", "output", "--bases=3", "--folds=5")),
+    "final": (final, ("input", "run_folder", "output")),
+    "explain": (explain, ("input", "model", "rules", "output")),
+    "infer": (infer, ("config", "input", "output")),
+    "setup": (setup, ("--name",)),
 }
 
 

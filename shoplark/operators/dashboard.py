@@ -104,8 +104,12 @@ def conversion_funnel(conversion: DataFrame) -> DataFrame:
     return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def transitions(sequences: DataFrame, column: str = "last_10_behavior_sequence") -> DataFrame:
-    """16 rows: how often each behaviour follows each, and its share of what follows; 0 where nothing does."""
+def transitions(sequences: DataFrame, column: str = "last_10_behavior_sequence", *, most: int | None = None) -> DataFrame:
+    """16 rows: how often each behaviour follows each, and its share of what follows; 0 where nothing does.
+
+    With most, only the first sequences by user and item are looked at, for a quick view.
+    """
+    sequences = sequences if most is None else sequences.orderBy("user_id", "item_id").limit(most)
     parts = F.filter(F.transform(F.split(column, ARROW), lambda x: F.lower(F.trim(x))), lambda x: x != "")
     pairs = F.transform(F.sequence(F.lit(1), F.size("b") - 1), lambda i: F.struct(F.element_at("b", i).alias("from_behavior"), F.element_at("b", i + 1).alias("to_behavior")))
     seen = sequences.where(F.col(column).isNotNull()).select(parts.alias("b")).where(F.size("b") > 1).select(F.explode(pairs).alias("p")).select("p.*")
@@ -141,6 +145,38 @@ def with_splits(by_split: Mapping[str, Mapping[str, DataFrame]]) -> dict[str, Da
     return out
 
 
+def split_frame(summary: DataFrame) -> DataFrame:
+    """Of label_summary(): a row a split."""
+    rows = summary.where("dataset_split is not null")
+    return rows.select(F.initcap("dataset_split").alias("Split"), F.col("sample_count").alias("Samples"), F.col("positive_count").alias("Positives"), F.col("negative_count").alias("Negatives"), F.col("positive_ratio").alias("Positive rate"))
+
+
+def imbalance_frame(spark, manifest: Mapping) -> DataFrame:
+    """Of the manifest of training sets: a row a strategy."""
+    rows = [(s, v["sample_count"], v["positive_count"], v["positive_ratio"]) for s, v in manifest["training_strategy_statistics"].items()]
+    return spark.createDataFrame(rows, "`Training strategy` string, Samples long, Positives long, `Positive rate` double")
+
+
+def performance_view(measures: DataFrame, measure: str, split: str) -> DataFrame:
+    """Candidates of one split by one measure, best first."""
+    return of_split(measures, split).select("candidate", measure).orderBy(F.desc(measure), "candidate")
+
+
+def threshold_view(thresholds: DataFrame, candidate: str) -> DataFrame:
+    """One candidate's precision, recall and f1 at each threshold, a row a measure."""
+    return thresholds.where(F.col("candidate") == candidate).unpivot("threshold", ["precision", "recall", "f1"], "metric", "value").orderBy("metric", "threshold")
+
+
+def segment_view(segments: DataFrame) -> DataFrame:
+    """Precision, recall and f1 of all segments but the whole, a row a measure."""
+    return segments.where("segment <> 'all'").unpivot("segment", ["precision", "recall", "f1"], "metric", "value")
+
+
+def attribution_view(summary: DataFrame, n: int = 10) -> DataFrame:
+    """The n features of the highest mean absolute attribution."""
+    return summary.orderBy(F.desc("mean_abs"), "feature").limit(n)
+
+
 def report_frame(spark, rows: Sequence[Mapping], schema: str) -> DataFrame:
     """A frame of a parsed report's rows, for views of splits and imbalance."""
     names = [x.split()[0] for x in schema.split(", ")]

@@ -15,12 +15,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..contracts import ContractError, need_features, need_rules
 from ..functions.ordering import chance_order
+from ..sources import files
 from .imbalance import class_weights, oversampled, undersampled
 from .metrics import evaluate
 
@@ -28,6 +29,7 @@ SEED = 42
 MODELS = ("logistic_regression", "random_forest", "xgboost", "lightgbm")
 STRATEGIES = ("baseline", "class_weight", "smote", "undersampled")
 IDS = ("user_id", "item_id", "category_id")
+STACK = "stacking_logistic_regression"
 
 
 @dataclass(frozen=True)
@@ -83,10 +85,16 @@ def fit(train: DataFrame, features: Sequence[str], model: str, params: Mapping[s
     return Pipeline(stages=stages).fit(train.withColumn("label", F.col("label").cast("double")))
 
 
-def score(model: PipelineModel, df: DataFrame, name: str = "score") -> DataFrame:
+def with_score(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
+    """df and the probability of a purchase."""
+    return model.transform(df).withColumn(name, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
+
+
+def score(model: PipelineModel | Stack, df: DataFrame, name: str = "score") -> DataFrame:
     """Ids, label if any, and the probability of a purchase."""
     keep = [c for c in (*IDS, "label", "user_event_count", "item_total_count") if c in df.columns]
-    return model.transform(df).select(*keep, vector_to_array("probability")[1].alias(name))
+    scored = model.scores(df, name) if isinstance(model, Stack) else with_score(model, df, name)
+    return scored.select(*keep, name)
 
 
 def predictions(model: PipelineModel, df: DataFrame, candidate: str, split: str, threshold: float = 0.5) -> DataFrame:
@@ -186,27 +194,44 @@ class Stack:
     bases: dict[str, PipelineModel]
     meta: PipelineModel
 
+    def scores(self, df: DataFrame, name: str = STACK) -> DataFrame:
+        """df, the score of each base under its name, and that of the stack: one pass, no join."""
+        for base, model in self.bases.items():
+            df = with_score(model, df, base)
+        return with_score(self.meta, df, name)
+
     def score(self, df: DataFrame) -> DataFrame:
-        names, joined = list(self.bases), None
-        for name, model in self.bases.items():
-            part = score(model, df, name)
-            joined = part if joined is None else joined.join(part.select("user_id", "item_id", name), ["user_id", "item_id"])
-        return score(self.meta, joined.select(*(c for c in (*IDS, "label") if c in joined.columns), *names))
+        return score(self, df)
 
 
-def stack(train: DataFrame, features: Sequence[str], bases: Sequence[Candidate], k: int = 5, seed: int = SEED) -> Stack:
-    """A logistic model over out-of-fold scores, and the bases refitted on all training rows."""
+def need_families(bases: Sequence[Candidate]) -> None:
     if len({c.model for c in bases}) < 2:
         raise ContractError("stacking takes two distinct model families at least")
-    oof = out_of_fold(train, features, bases, k, seed)
-    meta = fit(oof, [c.name for c in bases], "logistic_regression")
+
+
+def stack(train: DataFrame, features: Sequence[str], bases: Sequence[Candidate], k: int = 5, seed: int = SEED, *, oof: DataFrame | None = None) -> Stack:
+    """A logistic model over out-of-fold scores (made here unless given), and the bases refitted on all training rows."""
+    need_families(bases)
+    oof = out_of_fold(train, features, bases, k, seed) if oof is None else oof
+    meta = fit(oof, [c.name for c in bases], "logistic_regression", {"max_iter": 1000})
     return Stack({c.name: fit(training_set(train, features, c.strategy), features, c.model, dict(c.params)) for c in bases}, meta)
 
 
-def save(model: PipelineModel, path: str, *, overwrite: bool = False) -> None:
+def save(model: PipelineModel | Stack, path: str, *, overwrite: bool = False) -> None:
+    """A stack is a folder of its models; the file that names them is written last."""
+    if isinstance(model, Stack):
+        for name, base in model.bases.items():
+            save(base, f"{path}/bases/{name}", overwrite=overwrite)
+        save(model.meta, f"{path}/meta", overwrite=overwrite)
+        files.write_json(SparkSession.active(), {"bases": list(model.bases)}, f"{path}/stack.json", overwrite=overwrite)
+        return
     writer = model.write()
     (writer.overwrite() if overwrite else writer).save(path)
 
 
-def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load(path: str) -> PipelineModel | Stack:
+    spark = SparkSession.active()
+    if not files.exists(spark, f"{path}/stack.json"):
+        return PipelineModel.load(path)
+    names = files.read_json(spark, f"{path}/stack.json")["bases"]
+    return Stack({n: PipelineModel.load(f"{path}/bases/{n}") for n in names}, PipelineModel.load(f"{path}/meta"))

@@ -47,16 +47,56 @@ def read_columns(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
-def write_csv(df: DataFrame, path: str, *, mode: str = "errorifexists", one_file: bool = False) -> None:
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _place(spark, path)
+    return system.exists(place)
+
+
+def write_text(spark: SparkSession, text: str, path: str, *, overwrite: bool = False) -> None:
+    """One file, on whatever file system the path names."""
+    system, place = _place(spark, path)
+    if not overwrite and system.exists(place):
+        raise ContractError(f"{path} exists")
+    out = system.create(place, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def write_json(spark: SparkSession, payload: object, path: str, *, overwrite: bool = False) -> None:
+    write_text(spark, json.dumps(payload, ensure_ascii=False, indent=2, default=str) + "\n", path, overwrite=overwrite)
+
+
+def read_json(spark: SparkSession, path: str) -> dict:
+    if not exists(spark, path):
+        raise ContractError(f"{path} does not exist")
+    try:
+        out = json.loads(spark.read.text(path, wholetext=True).first()[0])
+    except ValueError as error:
+        raise ContractError(f"{path} is not JSON: {error}") from error
+    if not isinstance(out, dict):
+        raise ContractError(f"{path} holds no object")
+    return out
+
+
+def write_csv(df: DataFrame, path: str, *, mode: str = "errorifexists", one_file: bool = False, bom: bool = False) -> None:
+    """With bom, each file begins with a byte order mark, as spreadsheet programs want it."""
+    df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0]) if bom else df
     (df.coalesce(1) if one_file else df).write.mode(mode).option("header", True).csv(path)
 
 
-def write_tables(tables: Mapping[str, DataFrame], folder: str, *, kind: str = "parquet", mode: str = "errorifexists") -> list[str]:
+def write_tables(tables: Mapping[str, DataFrame], folder: str, *, kind: str = "parquet", mode: str = "errorifexists", bom: bool = False) -> list[str]:
     """Each table in a folder of its own; the committer puts a folder in place as a whole."""
     out = []
     for name, df in tables.items():
         path = f"{folder.rstrip('/')}/{name}"
-        write_csv(df, path, mode=mode) if kind == "csv" else df.write.mode(mode).parquet(path)
+        write_csv(df, path, mode=mode, one_file=bom, bom=bom) if kind == "csv" else df.write.mode(mode).parquet(path)
         out.append(path)
     return out
 

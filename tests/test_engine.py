@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shoplark.cli import main
 from shoplark.contracts import CLEAN_COLUMNS, RAW_COLUMNS, ContractError, check_windows, need_features, windows_of
-from shoplark.operators import cleaning, eda, explain, features, imbalance, inference, labels, metrics, models, preprocess, quality, screening, wide
+from shoplark.operators import cleaning, dashboard, eda, explain, features, imbalance, inference, labels, metrics, models, preprocess, quality, runs, screening, wide
 from shoplark.plans.windows import in_windows
 from shoplark.sources import files
 from shoplark.streaming.cleaning import clean_stream
@@ -320,3 +320,77 @@ def test_correlations_of_rows_that_have_both(spark):
     for (a, b), r in got.items():
         assert abs(r - (0.0 if np.isnan(want.loc[a, b]) else want.loc[a, b])) < 1e-6
     assert len(got) == 15
+
+
+def test_runs_from_training_to_inference(spark, tmp_path):
+    """The commands one after another, each from the files of those before."""
+    at = lambda *p: str(tmp_path.joinpath(*p))
+    raw_rows = {s: train_frame(spark, n, seed) for s, n, seed in (("train", 300, 3), ("validation", 150, 9), ("test", 150, 11))}
+    raw_rows = {s: d.withColumns({"user_event_count": F.col("user_id") % 4 + 1, "item_total_count": F.col("item_id") % 3 + 1}).drop("kind_code") for s, d in raw_rows.items()}
+    for s, d in raw_rows.items():
+        d.write.parquet(at("splits", f"dataset_split={s}"))
+    assert main(["preprocess", at("splits"), at("made"), at("rules.json")]) == 0
+    assert main(["select", at("made"), at("chosen")]) == 0
+    assert json.loads((tmp_path / "chosen" / "features.json").read_text())["selected_features"] == ["a", "b", "user_event_count", "item_total_count"]
+    assert main(["balance", at("chosen", "train"), at("balanced")]) == 0
+    manifest = json.loads((tmp_path / "balanced" / "manifest.json").read_text())
+    smote = manifest["training_strategy_statistics"]["smote"]
+    assert smote["positive_count"] == smote["negative_count"]
+    assert dashboard.imbalance_frame(spark, manifest).count() == 4
+    assert main(["train", at("chosen"), at("matrix"), "--candidates", "baseline__logistic_regression,undersampled__logistic_regression"]) == 0
+    assert main(["tune", at("chosen"), at("tuned"), "--candidates", "baseline__logistic_regression", "--trials", "2", "--earlier", at("matrix")]) == 0
+    gained = spark.read.parquet(at("tuned", "improvement")).collect()
+    assert [r.strategy for r in gained] == ["baseline"] and gained[0].roc_auc_change >= -1e-12
+    both = runs.comparisons(spark, [at("matrix"), at("tuned")]).collect()
+    assert [(r.candidate_rank, r.strategy) for r in both] in ([(1, "baseline"), (2, "undersampled")], [(1, "undersampled"), (2, "baseline")])
+    assert main(["stack", at("chosen"), at("tuned"), at("none")]) == 2  # one family only
+
+    train, validation = (models.load_matrix(spark.read.parquet(at("chosen", s)), ["a", "b", "user_event_count", "item_total_count"]) for s in ("train", "validation"))
+    bases = [models.Candidate("baseline", "logistic_regression"), models.Candidate("class_weight", "random_forest", (("trees", 4), ("depth", 3)))]
+    found = runs.run_stacking(train, validation, ["a", "b", "user_event_count", "item_total_count"], bases, at("stacked"), k=2)
+    assert set(found["candidates"]) == {bases[0].name, bases[1].name, models.STACK} and found["test_data_read"] is False
+    again = models.load(at("stacked", "model"))
+    kept = {(r.user_id, r.item_id): r[models.STACK] for r in spark.read.parquet(at("stacked", "validation_predictions")).collect()}
+    assert len(kept) == 150 and all(abs(kept[r.user_id, r.item_id] - r.score) < 1e-12 for r in again.score(validation).collect())
+
+    assert main(["final", at("chosen"), at("stacked"), at("final")]) == 0
+    assert main(["final", at("chosen"), at("stacked"), at("final")]) == 2  # test rows are read once
+    measures, thresholds = spark.read.parquet(at("final", "metrics")), spark.read.parquet(at("final", "thresholds"))
+    assert measures.count() == 6 and thresholds.count() == 3 * 19 and "roc_auc" in (tmp_path / "final" / "report.md").read_text()
+    own = metrics.ranking_metrics(spark.read.parquet(at("final", "predictions")).select("label", F.col(models.STACK).alias("score"))).first().roc_auc
+    assert dashboard.performance_view(measures, "roc_auc", "test").where(F.col("candidate") == models.STACK).first().roc_auc == own
+    assert dashboard.threshold_view(thresholds, models.STACK).count() == 57
+
+    forest = at("stacked", "model", "bases", bases[1].name)
+    assert main(["explain", at("chosen", "test"), forest, at("rules.json"), at("explained")]) == 0
+    assert dashboard.attribution_view(spark.read.parquet(at("explained", "attributions")), 1).first().feature == "a"
+    cold = raw_rows["test"].where("user_event_count <= 1").count()
+    segments = spark.read.parquet(at("explained", "segments"))
+    assert {r.segment: r.sample_count for r in segments.collect()}["cold_start_user"] == cold and dashboard.segment_view(segments).count() == 15
+
+    config = {"final_candidate": found["validation_leader"], "model_artifact": "stacked/model", "preprocessing_rules": "rules.json", "feature_list": "chosen/features.json", "selection_manifest": "stacked/manifest.json", "evaluation_summary": "final/summary.json", "prediction_threshold": 0.5}
+    config |= {"model_bundle_key": found["validation_leader"]} if found["validation_leader"] != models.STACK else {}
+    raw_rows["test"].write.parquet(at("input.parquet"))
+    (tmp_path / "config.json").write_text(json.dumps(config))
+    assert main(["infer", at("config.json"), at("input.parquet"), at("scored")]) == 0
+    want = {(r.user_id, r.item_id): r[found["validation_leader"]] for r in spark.read.parquet(at("final", "predictions")).collect()}
+    got = spark.read.parquet(at("scored")).collect()
+    assert len(got) == 150 and all(abs(want[r.user_id, r.item_id] - r.purchase_probability) < 1e-9 for r in got)
+    summary = json.loads((tmp_path / "final" / "summary.json").read_text())
+    for name, change in (("selection_manifest", found | {"test_data_read": True}), ("evaluation_summary", summary | {"test_evaluation_count": 2}), ("evaluation_summary", summary | {"candidates": []}), ("selection_manifest", found | {"validation_leader": "other"})):
+        (tmp_path / "changed.json").write_text(json.dumps(change))
+        (tmp_path / "bad.json").write_text(json.dumps(config | {name: "changed.json"}))
+        with pytest.raises(ContractError):
+            inference.load_contract(spark, at("bad.json"))
+
+
+def test_splits_frame_limit_and_byte_order_mark(spark, tmp_path):
+    rows = spark.createDataFrame([("train", 1), ("train", 0), ("test", 0)], "dataset_split string, label int")
+    frame = {r.Split: (r.Samples, r.Positives, r["Positive rate"]) for r in dashboard.split_frame(labels.label_summary(rows)).collect()}
+    assert frame == {"Train": (2, 1, 0.5), "Test": (1, 0, 0.0)}
+    sequences = spark.createDataFrame([(2, 1, "pv→buy"), (1, 1, "pv→cart")], "user_id long, item_id long, last_10_behavior_sequence string")
+    first = dashboard.transitions(sequences, most=1).where("transition_count > 0").collect()
+    assert [(r.from_behavior, r.to_behavior) for r in first] == [("pv", "cart")]
+    files.write_csv(rows, str(tmp_path / "out"), one_file=True, bom=True)
+    (made,) = (tmp_path / "out").glob("part-*")
+    assert made.read_bytes().startswith("﻿dataset_split,label".encode())
