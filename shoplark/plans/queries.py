@@ -442,23 +442,25 @@ def ix6_segments(spark: SparkSession, sf: str) -> DataFrame:
 # ---- models: no SQL can express them; tests hold them against properties ----
 
 
-def model_rows(spark: SparkSession, sf: str, split: str) -> DataFrame:
-    names = ("user_event_count", "user_buy_count", "item_total_count", "item_buy_count", "last_behavior_days_ago")
-    rows = labeled(spark, sf).where(F.col("dataset_split") == split)
-    return rows.select("user_id", "item_id", "category_id", F.col("label").cast("int").alias("label"), *(F.col(c).cast("double").alias(c) for c in names))
+MODEL_FEATURES = ("user_event_count", "user_buy_count", "item_total_count", "item_buy_count", "last_behavior_days_ago")
+
+
+def model_rows(rows: DataFrame, split: str) -> DataFrame:
+    """Of labelled rows."""
+    return rows.where(F.col("dataset_split") == split).select("user_id", "item_id", "category_id", F.col("label").cast("int").alias("label"), *(F.col(c).cast("double").alias(c) for c in MODEL_FEATURES))
 
 
 def _model_query(model: str, params: dict) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         from ..operators import models
 
-        train, names = model_rows(spark, sf, "train"), ["user_event_count", "user_buy_count", "item_total_count", "item_buy_count", "last_behavior_days_ago"]
-        train = models.load_matrix(train, names).persist()
+        rows, names = labeled(spark, sf), list(MODEL_FEATURES)
+        train = models.load_matrix(model_rows(rows, "train"), names).persist()
         try:
             fitted = models.fit(models.training_set(train, names, "class_weight"), names, model, params)
         finally:
             train.unpersist()
-        return models.predictions(fitted, model_rows(spark, sf, "validation"), f"class_weight__{model}", "validation")
+        return models.predictions(fitted, model_rows(rows, "validation"), f"class_weight__{model}", "validation")
 
     return run
 
