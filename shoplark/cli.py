@@ -62,7 +62,7 @@ def build_features(spark, a):
 
 def build_wide(spark, a):
     tables = _feature_tables(spark, a.input)
-    wide.check_wide_inputs(tables)
+    wide.check_wide_inputs(tables, _windows(a.windows))
     wide.wide_table(tables).write.mode(a.mode).parquet(a.output)
     return wide.wide_gate(spark.read.parquet(a.output), tables["user_sequence"].count())
 
@@ -175,7 +175,7 @@ COMMANDS = {
     "eda": (describe, ("input", "output")),
     "intermediate": (intermediate, ("input", "output", "--windows")),
     "features": (build_features, ("input", "output", "--windows")),
-    "wide": (build_wide, ("input", "output")),
+    "wide": (build_wide, ("input", "output", "--windows")),
     "dashboard": (dashboard_statistics, ("input", "output")),
     "labels": (label, ("input", "clean", "output")),
     "splits": (split, ("input", "output")),

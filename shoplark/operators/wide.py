@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import ARROW, NAMES, RATIOS, WIDE_KEY, ContractError, need_key, need_rules
+from ..contracts import ARROW, NAMES, RATIOS, WIDE_KEY, ContractError, HistoryWindow, need_key, need_rules, violations
+from ..plans.windows import window_table
 from .features import RANKED, WINDOW
 
 USER_BASIC = ("event_count", "pv_count", "fav_count", "cart_count", "buy_count")
@@ -46,17 +47,50 @@ WIDE_COLUMNS = (
 )
 
 
+def uncovered(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
+    """The keys of one side only, with the side that has them."""
+    a, b = left.select(*key, F.lit(True).alias("_l")), right.select(*key, F.lit(True).alias("_r"))
+    both = a.join(b, key, "full_outer").where("_l is null or _r is null")
+    return both.select(*key, F.when(F.col("_l"), "left").otherwise("right").alias("side"))
+
+
 def need_coverage(left: DataFrame, right: DataFrame, key: list[str], what: str) -> None:
     """Both sides have the same keys."""
-    a, b = left.select(*key, F.lit(1).alias("_l")), right.select(*key, F.lit(1).alias("_r"))
-    if not a.join(b, key, "full_outer").where("_l is null or _r is null").isEmpty():
+    if not uncovered(left, right, key).isEmpty():
         raise ContractError(f"{what}: the tables do not cover the same keys")
 
 
+def _disagreement(left: DataFrame, right: DataFrame, key: list[str], columns: list[str]) -> tuple[DataFrame, dict[str, Column]]:
+    b = right.select(*key, *(F.col(c).alias(f"_{c}") for c in columns))
+    return left.join(b, key), {f"inconsistent {c}": ~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns}
+
+
+def disagreements(left: DataFrame, right: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """One row: for each column that both sides carry, the keys where it differs."""
+    return violations(*_disagreement(left, right, key, columns))
+
+
 def need_agreement(left: DataFrame, right: DataFrame, key: list[str], columns: list[str], what: str) -> None:
     """Columns that both sides carry are equal."""
-    b = right.select(*key, *(F.col(c).alias(f"_{c}") for c in columns))
-    need_rules(left.join(b, key), {f"inconsistent {c}": ~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns}, what)
+    need_rules(*_disagreement(left, right, key, columns), what)
+
+
+def window_disagreements(table: DataFrame, windows: Sequence[HistoryWindow]) -> DataFrame:
+    """A row a split of the table or of the windows: its rows, and those whose window is not the split's, or that have no known split."""
+    known = window_table(table.sparkSession, windows).select("dataset_split", *(F.col(c).alias(f"_{c}") for c in WINDOW))
+    same = F.lit(True)
+    for c in WINDOW:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    spans = table.groupBy("dataset_split", *WINDOW).agg(F.count("*").alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    return spans.join(F.broadcast(known), "dataset_split", "full_outer").groupBy("dataset_split").agg(F.sum(n).alias("rows"), F.sum(F.when(F.col("_label_date").isNotNull() & same, 0).otherwise(n)).alias("wrong_rows"))
+
+
+def need_windows(table: DataFrame, windows: Sequence[HistoryWindow], what: str) -> None:
+    """Every split has rows, and each row the window of its split."""
+    bad = [r for r in window_disagreements(table, windows).collect() if r.wrong_rows or not r.rows]  # a row a split
+    if bad:
+        raise ContractError(f"{what}: " + ", ".join(f"{r.dataset_split}: {r.rows} rows, {r.wrong_rows} of another window" for r in bad))
 
 
 def user_lookup(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -93,8 +127,10 @@ def wide_table(tables: Mapping[str, DataFrame]) -> DataFrame:
     return joined.select(*WIDE_COLUMNS)
 
 
-def check_wide_inputs(tables: Mapping[str, DataFrame]) -> None:
-    """Unique keys, equal coverage, and agreement of what several tables carry."""
+def check_wide_inputs(tables: Mapping[str, DataFrame], windows: Sequence[HistoryWindow] | None = None) -> None:
+    """Unique keys, equal coverage, agreement of what several tables carry and, if the windows are given, with them."""
+    for name, table in tables.items() if windows else ():
+        need_windows(table, windows, name)
     user, item = ["dataset_split", "user_id"], ["dataset_split", "item_id"]
     for name, key in (("user_basic", user), ("user_activity", user), ("user_sequence", list(WIDE_KEY)), ("item_behavior", item), ("item_popularity", item), ("conversion_chain", item)):
         need_key(tables[name], key, name)

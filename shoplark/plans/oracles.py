@@ -200,3 +200,58 @@ ORACLES = {
     "m13_folds": sql("train", "SELECT CAST((k - 1) % 5 AS INT) AS fold, label, count(*) AS rows, CAST(sum(user_id) AS BIGINT) AS user_ids FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', '42', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), CAST(category_id AS VARCHAR)))) AS k FROM train) GROUP BY 1, 2"),
     "f10_chance": "SELECT DISTINCT user_id, round(CAST(('0x' || substr(md5('42|' || CAST(user_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0, 9) AS drawn FROM events",
 }
+
+_chance = lambda *parts: f"CAST(('0x' || substr(md5(concat_ws('|', '42', {', '.join(parts)})), 1, 8)) AS BIGINT) / 4294967296.0"
+_IDS = "CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), CAST(category_id AS VARCHAR)"
+#: Synthetic rows by definition: every pair of positives is measured.
+_SMOTE = f"""po AS (SELECT row_number() OVER (ORDER BY md5(concat_ws('|', '42', {_IDS}))) - 1 AS n, CAST(user_event_count AS DOUBLE) AS x, CAST(item_total_count AS DOUBLE) AS y, length(last_behavior_type) AS z FROM train WHERE label = 1),
+  ne AS (SELECT a.n, b.x, b.y, b.z, row_number() OVER (PARTITION BY a.n ORDER BY (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y), b.n) - 1 AS k FROM po a JOIN po b ON a.n <> b.n QUALIFY k < 5),
+  si AS (SELECT count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS q FROM train),
+  pl AS (SELECT i, i % p AS n, CAST(floor({_chance("CAST(i AS VARCHAR)", "'neighbour'")} * least(5, p - 1)) AS BIGINT) AS k FROM (SELECT p, unnest(range(q - p)) AS i FROM si))"""
+_made_names = "['baseline', 'class_weight', 'smote', 'undersampled'][user_id % 4 + 1] AS strategy, ['logistic_regression', 'random_forest', 'xgboost', 'lightgbm'][item_id % 4 + 1] AS model"
+_MADE = f"mc AS (SELECT {_made_names}, CAST(sum(behavior_hour) % 3 AS DOUBLE) / 4 AS roc_auc, CAST(sum(weekday) % 5 AS DOUBLE) / 8 AS average_precision, CAST(sum(behavior_type) % 7 AS DOUBLE) / 8 AS log_loss FROM clean GROUP BY 1, 2)"
+_ORDER = "roc_auc DESC, average_precision DESC, log_loss"
+_ROLE_OF = {"last_behavior_type": "categorical", "last_10_behavior_sequence": "categorical", "user_activity_level": "categorical", "category_first_event_time": "dropped", "category_last_event_time": "dropped"}
+_wide_inputs = ["last_behavior_type", "last_behavior_hour", "last_behavior_days_ago", "last_10_behavior_sequence", *(f"user_{c}" for c in (*_USER_BASIC, *_USER_ACTIVITY)), *_ITEM, *(f"{c}_rank" for c in _RANKED), "buy_per_pv", "buy_per_fav", "buy_per_cart"]
+_wide_inputs += [f"category_{c}" for c in ("active_day_count", "buy_count", "cart_count", "fav_count", "first_event_time", "last_event_time", "pv_count", "total_count", "unique_item_count", "unique_user_count")]
+_wide_inputs += [f"time_{c}" for c in ("buy_count", "cart_count", "fav_count", "pv_count", "total_count", "unique_category_count", "unique_item_count", "unique_user_count", "weekday")]
+_role_rows = ", ".join(f"('{c}', '{_ROLE_OF.get(c, 'numeric')}')" for c in _wide_inputs)
+_groups = lambda name, key, k: f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST({k} AS BIGINT) AS column_count FROM (SELECT DISTINCT dataset_split, {key} FROM hist)"
+_all_pairs = ", ".join(f"'{a}|{b}': coalesce(abs(nullif(corr({a}, {b}), 'nan'::DOUBLE)), 0)" for a, b in _pairs)
+#: The columns in turn, each kept unless it hardly varies or is like one that is kept.
+_GREEDY = f"""ms AS (SELECT MAP {{{_all_pairs}}} AS r, [{', '.join(f"coalesce(var_pop({c}), 0) <= 1e-12" for c in _NUMERIC)}] AS flat, [{', '.join(f"count({c}) < 0.05 * count(*)" for c in _NUMERIC)}] AS gone, [{', '.join(f"'{c}'" for c in _NUMERIC)}] AS names FROM train),
+  st(k, kept, feature, reasons) AS (SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), '', '' UNION ALL
+    SELECT k + 1, CASE WHEN why = '' THEN list_append(kept, f) ELSE kept END, f, why FROM (SELECT k, kept, names[k + 1] AS f,
+      CASE WHEN gone[k + 1] OR flat[k + 1] THEN array_to_string(list_filter([CASE WHEN gone[k + 1] THEN 'missing_rate_above_0.95' END, CASE WHEN flat[k + 1] THEN 'low_variance' END], lambda x: x IS NOT NULL), ';')
+           ELSE coalesce('high_correlation_with:' || list_filter(kept, lambda x: r[x || '|' || names[k + 1]] >= 0.98)[1], '') END AS why
+      FROM st, ms WHERE k < {len(_NUMERIC)}))"""
+
+ORACLES |= {
+    "s2_text_log": sql("raw", "SELECT time, CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id, CAST(category_id AS VARCHAR) AS item_category, CAST(bt AS VARCHAR) AS behavior_type FROM raw"),
+    "s3_typed_parquet": sql("raw", "SELECT time, user_id, item_id, category_id AS item_category, CAST(bt AS TINYINT) AS behavior_type FROM raw WHERE bt <= 4"),
+    "s5_split_read": sql("lab", "SELECT user_id, item_id, last_behavior_date, label FROM lab WHERE dataset_split = 'validation'"),
+    "s14_json_report": sql("clean", "SELECT s.stage, count(c.user_id) AS behavior_count FROM (VALUES ('PV', 'pv'), ('Favorite', 'fav'), ('Cart', 'cart'), ('Purchase', 'buy')) s(stage, n) LEFT JOIN clean c ON c.behavior_name = s.n GROUP BY 1"),
+    "s18_behavior_table": sql("raw", "SELECT time, user_id, item_id, category_id AS item_category, CAST(bt AS TINYINT) AS behavior_type FROM raw WHERE bt <= 4"),
+    "v6_broken_clean_rows": sql("clean", "SELECT CAST(0 AS BIGINT) AS bad_time, CAST(0 AS BIGINT) AS bad_user_id, CAST(0 AS BIGINT) AS bad_item_id, count(*) FILTER (WHERE user_id % 17 = 0) AS bad_category_id, count(*) FILTER (WHERE user_id % 7 = 0) AS bad_behavior_date, count(*) FILTER (WHERE item_id % 13 = 0) AS bad_behavior_name, count(*) FILTER (WHERE item_id % 5 = 0) AS bad_behavior_hour, count(*) FILTER (WHERE user_id % 11 = 0) AS bad_weekday FROM clean"),
+    "v8_wrong_windows": sql("ub", "SELECT s AS dataset_split, count(user_id) AS rows, count(user_id) FILTER (WHERE s = 'validation' AND user_id % 5 = 0) AS wrong_rows FROM (VALUES ('train'), ('validation'), ('test')) t(s) LEFT JOIN ub ON dataset_split = s AND s <> 'test' GROUP BY 1"),
+    "v10_disagreements": sql("ub", 'SELECT count(*) FILTER (WHERE user_id % 9 = 0) AS "inconsistent event_count", CAST(0 AS BIGINT) AS "inconsistent history_start", CAST(0 AS BIGINT) AS "inconsistent history_end", count(*) FILTER (WHERE user_id % 4 = 0) AS "inconsistent label_date" FROM ub'),
+    "j5_uncovered_items": sql("ib", "SELECT dataset_split, item_id, CASE WHEN item_id % 7 = 0 THEN 'right' ELSE 'left' END AS side FROM ib WHERE (item_id % 7 = 0) <> (item_id % 5 = 0)"),
+    "v12_gate_metrics": sql("wide", "SELECT * FROM (SELECT unnest(['rows', 'null_buy_per_pv', 'null_buy_per_fav', 'null_buy_per_cart']) AS metric, unnest([count(*), count(*) - count(buy_per_pv), count(*) - count(buy_per_fav), count(*) - count(buy_per_cart)]) AS value FROM wide) WHERE value > 0"),
+    "pp1_feature_roles": f"SELECT * FROM (VALUES {_role_rows}) t(field, role)",
+    "d8_intermediate_inventory": sql("hist", " UNION ALL ".join((_groups("user", "user_id", 15), _groups("item", "item_id", 15), _groups("category", "category_id", 13), _groups("time", "behavior_date, behavior_hour", 14)))),
+    "b7_funnel_of_splits": sql("hist", "SELECT dataset_split, s.stage, CAST(count(*) FILTER (WHERE behavior_name = s.n) AS DOUBLE) AS behavior_count, round(100 * count(*) FILTER (WHERE behavior_name = s.n) / nullif(count(*) FILTER (WHERE behavior_name = 'pv'), 0), 6) AS relative_to_pv_percentage, round(CASE WHEN s.stage = 'PV' THEN 100.0 ELSE 100 * count(*) FILTER (WHERE behavior_name = s.n) / nullif(count(*) FILTER (WHERE behavior_name = s.before), 0) END, 6) AS from_previous_percentage FROM hist CROSS JOIN (VALUES ('PV', 'pv', ''), ('Favorite', 'fav', 'pv'), ('Cart', 'cart', 'fav'), ('Purchase', 'buy', 'cart')) s(stage, n, before) GROUP BY dataset_split, s.stage, s.n, s.before"),
+    "b9_split_frame": sql("lab", 'SELECT upper(dataset_split[1]) || dataset_split[2:] AS "Split", count(*) AS "Samples", CAST(sum(label) AS BIGINT) AS "Positives", CAST(count(*) - sum(label) AS BIGINT) AS "Negatives", round(avg(label), 6) AS "Positive rate" FROM lab GROUP BY dataset_split'),
+    "b10_threshold_view": sql("tg", f'SELECT threshold, m AS metric, CASE m WHEN \'precision\' THEN "precision" WHEN \'recall\' THEN recall ELSE f1 END AS value FROM (SELECT threshold, {_RATES} FROM tg) CROSS JOIN (VALUES (\'precision\'), (\'recall\'), (\'f1\')) t(m)'),
+    "o9_transitions_of_first": sql("us", "SELECT f.b AS from_behavior, t.b AS to_behavior, count(x.n) AS transition_count, round(coalesce(100 * count(x.n) / nullif(sum(count(x.n)) OVER (PARTITION BY f.b), 0), 0.0), 6) AS transition_probability FROM (VALUES ('pv'), ('fav'), ('cart'), ('buy')) f(b) CROSS JOIN (VALUES ('pv'), ('fav'), ('cart'), ('buy')) t(b) LEFT JOIN (SELECT l[i] AS a, l[i + 1] AS n FROM (SELECT l, unnest(range(1, len(l))) AS i FROM (SELECT l[-10:] AS l FROM us WHERE dataset_split = 'train' ORDER BY user_id, item_id LIMIT 500))) x ON x.a = f.b AND x.n = t.b GROUP BY 1, 2"),
+    "pp5_applied_counts": sql("lab train", "SELECT dataset_split, count(*) AS rows_out, count(*) AS rows, " + ", ".join(f"count(*) - count({c}) AS filled_{c}" for c in _NUMERIC) + ", count(*) FILTER (WHERE last_behavior_type NOT IN (SELECT last_behavior_type FROM train)) AS unseen_last_behavior_type, " + ", ".join(f"count(*) FILTER (WHERE last_behavior_type || '-' || last_behavior_hour NOT IN (SELECT last_behavior_type || '-' || last_behavior_hour FROM train)) AS {n}" for n in ("unseen_type_hour", "unseen_codes")) + " FROM lab GROUP BY dataset_split"),
+    "f21_raw_values": sql("lab", "SELECT user_id, item_id, user_event_count, item_total_count, time_total_count FROM lab WHERE dataset_split = 'test'"),
+    "in3_frozen_features": ORACLES["pp4_preprocessed"].replace("SELECT l.user_id, l.item_id, l.label, ", "SELECT l.user_id, l.item_id, l.category_id, ").replace("WHERE l.dataset_split = 'validation'", "WHERE l.dataset_split = 'test'"),
+    "fs2_selected_features": sql("train", "").replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f", {_GREEDY} SELECT feature, reasons = '' AS selected, reasons FROM st WHERE k > 0",
+    "ci2_synthetic_rows": sql("train", "").rstrip() + f", {_SMOTE} SELECT CAST(1 AS TINYINT) AS label, true AS is_synthetic, CAST(-1 AS BIGINT) AS user_id, round(po.x + {_chance('CAST(i AS VARCHAR)', repr('user_event_count'))} * (ne.x - po.x), 6) AS user_event_count, round(po.y + {_chance('CAST(i AS VARCHAR)', repr('item_total_count'))} * (ne.y - po.y), 6) AS item_total_count, CAST(CASE WHEN {_chance('CAST(i AS VARCHAR)', repr('last_code'))} < 0.5 THEN po.z ELSE ne.z END AS INT) AS last_code FROM pl JOIN po USING (n) JOIN ne USING (n, k)",
+    "ci5_variant_statistics": sql("train", "SELECT strategy, p + q AS sample_count, p AS positive_count, q AS negative_count, round(p / (p + q), 6) AS positive_ratio FROM (SELECT s AS strategy, CASE s WHEN 'smote' THEN count(*) FILTER (WHERE label = 0) ELSE count(*) FILTER (WHERE label = 1) END AS p, CASE s WHEN 'undersampled' THEN count(*) FILTER (WHERE label = 1) ELSE count(*) FILTER (WHERE label = 0) END AS q FROM train CROSS JOIN (VALUES ('baseline'), ('class_weight'), ('smote'), ('undersampled')) t(s) GROUP BY s)"),
+    "ix2_explanation_sample": sql("sc", "SELECT user_id, item_id, label FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', '42', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR)))) AS k FROM sc) WHERE label = 1 OR k <= 500 - (SELECT sum(label) FROM sc)"),
+    "m11_candidate_ranks": sql("clean", "").rstrip() + f", {_MADE} SELECT *, row_number() OVER (ORDER BY {_ORDER}, strategy, model) AS candidate_rank FROM mc",
+    "m12_base_models": sql("clean", "").rstrip() + f", {_MADE} SELECT * FROM (SELECT * FROM mc QUALIFY row_number() OVER (PARTITION BY model ORDER BY {_ORDER}, strategy) = 1) ORDER BY {_ORDER}, model LIMIT 3",
+    "m9_merged_comparisons": sql("clean", "").rstrip() + f", {_MADE} SELECT *, row_number() OVER (ORDER BY {_ORDER}, strategy, model) AS candidate_rank FROM (SELECT strategy, model, CASE WHEN model IN ('xgboost', 'lightgbm') THEN roc_auc + 0.125 ELSE roc_auc END AS roc_auc, average_precision, log_loss FROM mc)",
+    "j12_improvement": sql("clean", "").rstrip() + f", {_MADE} SELECT strategy, model, roc_auc, roc_auc AS roc_auc_before, 0.0::DOUBLE AS roc_auc_change, average_precision, average_precision AS average_precision_before, 0.0::DOUBLE AS average_precision_change, log_loss / 2 AS log_loss, log_loss AS log_loss_before, -log_loss / 2 AS log_loss_change FROM mc WHERE strategy <> 'smote'",
+}

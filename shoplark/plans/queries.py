@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import field_roles, raw_rules, violations
+from ..contracts import RAW_COLUMNS, clean_rules, field_roles, raw_rules, violations
 from ..functions.ordering import chance
-from ..operators import cleaning, dashboard, eda, features, imbalance, labels, metrics, preprocess, quality, screening, wide
+from ..operators import cleaning, dashboard, eda, explain, features, imbalance, inference, labels, metrics, preprocess, quality, screening, wide
+from ..sources import files
 from ..sources.events import EVENT_WINDOWS, events_table, raw_log
-from ..sources.shared import stored
+from ..sources.shared import shared_path, stored
 from .windows import in_windows, window_table
 
 #: In the test tables no behaviour repeats within an hour, so the rule for repeats is applied to days here.
@@ -66,6 +68,15 @@ def train_rows(spark: SparkSession, sf: str) -> DataFrame:
     return labeled(spark, sf).where("dataset_split = 'train'")
 
 
+SMOTE_FEATURES = ("user_event_count", "item_total_count", "last_code")
+
+
+def smote_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Training rows with two continuous features and a code."""
+    rows = train_rows(spark, sf)
+    return rows.select("user_id", "item_id", "category_id", "label", *(F.col(c).cast("double").alias(c) for c in SMOTE_FEATURES[:2]), F.length("last_behavior_type").alias("last_code"))
+
+
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled training rows with a made-up score that has ties."""
     points = (F.col("user_event_count") * 7 + F.col("item_total_count") * 3 + F.col("user_id") + F.col("item_id") * 5) % 97
@@ -482,3 +493,239 @@ def m13_folds(spark: SparkSession, sf: str) -> DataFrame:
 def f10_chance(spark: SparkSession, sf: str) -> DataFrame:
     users = events_table(spark, sf).select("user_id").distinct()
     return users.select("user_id", F.round(chance(F.lit(42), F.col("user_id")), 9).alias("drawn"))
+
+
+# ---- files and tables ----
+
+
+def written_log(spark: SparkSession, sf: str, *, valid: bool) -> str:
+    """The path of the raw log (its valid rows) as CSV files."""
+    rows = raw(spark, sf).where("behavior_type <> '9'") if valid else raw(spark, sf)
+    path = shared_path(spark, "log")
+    files.write_csv(rows.select(*RAW_COLUMNS), path)
+    return path
+
+
+@query
+def s2_text_log(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_log_text(spark, written_log(spark, sf, valid=False)).drop("source_order")
+
+
+@query
+def s3_typed_parquet(spark: SparkSession, sf: str) -> DataFrame:
+    target = shared_path(spark, "typed")
+    files.csv_to_parquet(spark, written_log(spark, sf, valid=True), target)
+    return spark.read.parquet(target)
+
+
+@query
+def s5_split_read(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_path(spark, "splits")
+    labels.write_splits(labeled(spark, sf), path)
+    return files.read_columns(spark, path, ["user_id", "item_id", "last_behavior_date", "label"], "validation")
+
+
+@query
+def s14_json_report(spark: SparkSession, sf: str) -> DataFrame:
+    path = f"{shared_path(spark, 'report')}.json"
+    files.write_json(spark, {r.stage: r.behavior_count for r in eda.descriptive_funnel(clean(spark, sf)).collect()}, path)  # four stages
+    return spark.createDataFrame(list(files.read_json(spark, path).items()), "stage string, behavior_count long")
+
+
+@query
+def s18_behavior_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog table with two appended parts; it is dropped again, so its rows are stored first."""
+    name = f"behavior_{uuid.uuid4().hex}"
+    files.create_behavior_table(spark, name)
+    try:
+        rows = raw(spark, sf).where("behavior_type <> '9'")
+        typed = rows.select("time", *(F.col(c).cast("bigint").alias(c) for c in RAW_COLUMNS[1:4]), F.col("behavior_type").cast("tinyint").alias("behavior_type"))
+        for part in (0, 1):
+            files.append_behavior(typed.where(F.col("user_id") % 2 == part), name)
+        return stored(spark.table(name), "behavior")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+# ---- checks on planted faults ----
+
+
+@query
+def v6_broken_clean_rows(spark: SparkSession, sf: str) -> DataFrame:
+    faults = {
+        "behavior_date": F.when(F.col("user_id") % 7 == 0, "2024-02-30").otherwise(F.col("behavior_date")),
+        "behavior_hour": F.when(F.col("item_id") % 5 == 0, (F.col("behavior_hour") + 1) % 24).otherwise(F.col("behavior_hour")),
+        "weekday": F.when(F.col("user_id") % 11 == 0, (F.col("weekday") + 1) % 7).otherwise(F.col("weekday")),
+        "behavior_name": F.when(F.col("item_id") % 13 == 0, None).otherwise(F.col("behavior_name")),
+        "category_id": F.when(F.col("user_id") % 17 == 0, None).otherwise(F.col("category_id")),
+    }
+    return violations(clean(spark, sf).withColumns(faults), {f"bad_{k}": r for k, r in clean_rules().items()})
+
+
+@query
+def v8_wrong_windows(spark: SparkSession, sf: str) -> DataFrame:
+    moved = F.when((F.col("dataset_split") == "validation") & (F.col("user_id") % 5 == 0), F.date_add("history_start", 1)).otherwise(F.col("history_start"))
+    rows = features.user_basic(history(spark, sf)).where("dataset_split <> 'test'").withColumn("history_start", moved)
+    return wide.window_disagreements(rows, EVENT_WINDOWS)
+
+
+@query
+def v10_disagreements(spark: SparkSession, sf: str) -> DataFrame:
+    rows = history(spark, sf)
+    other = features.user_activity(rows).withColumn("event_count", F.col("event_count") + (F.col("user_id") % 9 == 0).cast("int")).withColumn("label_date", F.when(F.col("user_id") % 4 != 0, F.col("label_date")))
+    return wide.disagreements(features.user_basic(rows), other, ["dataset_split", "user_id"], ["event_count", *features.WINDOW])
+
+
+@query
+def j5_uncovered_items(spark: SparkSession, sf: str) -> DataFrame:
+    items = features.item_behavior(history(spark, sf))
+    return wide.uncovered(items.where("item_id % 7 <> 0"), features.conversion_chain(items).where("item_id % 5 <> 0"), ["dataset_split", "item_id"])
+
+
+@query
+def v12_gate_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """What the gate lets pass: rows, and the nulls that are allowed."""
+    rows = stored(wide_rows(spark, sf), "wide")
+    anchor = features.user_sequence(history(spark, sf)).count()
+    found = wide.wide_gate(rows, anchor)
+    return spark.createDataFrame([(k, v) for k, v in found.items() if v], "metric string, value long")
+
+
+@query
+def pp1_feature_roles(spark: SparkSession, sf: str) -> DataFrame:
+    numeric, categorical, dropped = preprocess.feature_roles(wide.wide_table(tables(spark, sf)).schema)
+    rows = [(c, r) for r, names in (("numeric", numeric), ("categorical", categorical), ("dropped", dropped)) for c in names]
+    return spark.createDataFrame(rows, "field string, role string")
+
+
+# ---- stages over all splits ----
+
+
+@query
+def d8_intermediate_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    return dashboard.inventory(features.intermediate_tables(clean(spark, sf), EVENT_WINDOWS))
+
+
+@query
+def b7_funnel_of_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """By way of CSV files, as dashboards read them."""
+    made = tables(spark, sf)
+    whole = dashboard.with_splits({w.dataset_split: dashboard.summaries(made, w.dataset_split) for w in EVENT_WINDOWS})["funnel"]
+    (path,) = files.write_tables({"funnel": whole}, shared_path(spark, "dashboard"), kind="csv")
+    return rounded(spark.read.schema(whole.schema).option("header", True).csv(path))
+
+
+@query
+def b9_split_frame(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(dashboard.split_frame(labels.label_summary(labeled(spark, sf))))
+
+
+@query
+def b10_threshold_view(spark: SparkSession, sf: str) -> DataFrame:
+    grid = metrics.threshold_grid(scored(spark, sf)).withColumn("candidate", F.lit("made"))
+    return rounded(dashboard.threshold_view(grid.unionByName(grid.withColumn("candidate", F.lit("other"))), "made"))
+
+
+@query
+def o9_transitions_of_first(spark: SparkSession, sf: str) -> DataFrame:
+    """The limit is the operator's own: a quick view of the first 500 sequences."""
+    return rounded(dashboard.transitions(dashboard.of_split(d12_user_sequence(spark, sf), "train"), most=500))
+
+
+@query
+def pp5_applied_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules fitted on training rows, applied to all splits: rows out, filled values and unseen categories."""
+    rows = labeled(spark, sf).select("dataset_split", "user_id", "item_id", "category_id", "label", *NUMERIC, "last_behavior_type", F.concat_ws("-", "last_behavior_type", "last_behavior_hour").alias("type_hour"))
+    rules, out = preprocess.preprocess({w.dataset_split: rows.where(F.col("dataset_split") == w.dataset_split) for w in EVENT_WINDOWS})
+    counted = None
+    for split, made in out.items():
+        seen = preprocess.applied_counts(rows.where(F.col("dataset_split") == split), rules)
+        one = made.agg(F.count("*").alias("rows_out"), F.count_if(F.col("type_hour_code") == preprocess.UNSEEN).alias("unseen_codes")).crossJoin(seen).select(F.lit(split).alias("dataset_split"), "*")  # one row each
+        counted = one if counted is None else counted.unionByName(one)
+    return counted
+
+
+@query
+def f21_raw_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Standardised and turned back; the floats between have about seven digits."""
+    names = ["user_event_count", "item_total_count", "time_total_count"]
+    rows = labeled(spark, sf).select("dataset_split", "user_id", "item_id", "category_id", "label", *names)
+    rules = preprocess.fit_rules(rows.where("dataset_split = 'train'"))
+    back = explain.raw_values(preprocess.apply_rules(rows.where("dataset_split = 'test'"), rules), rules.numeric, names)
+    return back.select("user_id", "item_id", *(F.round(c).cast("long").alias(c) for c in names))
+
+
+@query
+def in3_frozen_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Test rows from a Parquet file through the frozen contract, without a model."""
+    rows = labeled(spark, sf).select("dataset_split", "user_id", "item_id", "category_id", "label", *NUMERIC, *CATEGORICAL)
+    rules = preprocess.fit_rules(rows.where("dataset_split = 'train'"))
+    names = [*NUMERIC, *(f"{c}_code" for c in CATEGORICAL)]
+    frozen = inference.InferenceContract.checked({"candidate": "a", "validation_leader": "a", "features": names, "threshold": 0.5}, rules)
+    path = f"{shared_path(spark, 'inference')}.parquet"
+    rows.where("dataset_split = 'test'").drop("dataset_split", "label").write.parquet(path)
+    out = inference.transform_features(inference.read_input(spark, path, frozen), frozen)
+    return out.select("user_id", "item_id", "category_id", *(F.round(F.col(c).cast("double"), 3).alias(c) for c in NUMERIC), *(f"{c}_code" for c in CATEGORICAL))
+
+
+@query
+def ci2_synthetic_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = imbalance.synthetic_positives(smote_rows(spark, sf), list(SMOTE_FEATURES))
+    return rows.select("label", "is_synthetic", "user_id", *(F.round(c, 6).alias(c) for c in SMOTE_FEATURES[:2]), "last_code")
+
+
+@query
+def ci5_variant_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    made = imbalance.variants(smote_rows(spark, sf), list(SMOTE_FEATURES))
+    parts = [imbalance.class_statistics(d).select(F.lit(s).alias("strategy"), "*") for s, d in made.items()]
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]))
+
+
+@query
+def ix2_explanation_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """500 rows, which is the operator's own limit, in which all positives are."""
+    return explain.explanation_sample(scored(spark, sf), 500).select("user_id", "item_id", "label")
+
+
+def made_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """Measures of made-up candidates, with ties in the first."""
+    from ..operators import models
+
+    at = lambda names, c: F.element_at(F.array(*map(F.lit, names)), (F.col(c) % 4 + 1).cast("int"))
+    named = clean(spark, sf).select(at(models.STRATEGIES, "user_id").alias("strategy"), at(models.MODELS, "item_id").alias("model"), "behavior_hour", "weekday", "behavior_type")
+    return named.groupBy("strategy", "model").agg((F.sum("behavior_hour") % 3 / 4).alias("roc_auc"), (F.sum("weekday") % 5 / 8).alias("average_precision"), (F.sum("behavior_type") % 7 / 8).alias("log_loss"))
+
+
+@query
+def m11_candidate_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import models
+
+    return models.ranked(made_comparison(spark, sf))
+
+
+@query
+def m12_base_models(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import models
+
+    return models.distinct_families(made_comparison(spark, sf))
+
+
+@query
+def m9_merged_comparisons(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs; the later one has some of the candidates again."""
+    from ..operators import runs
+
+    whole = made_comparison(spark, sf)
+    again = whole.where("model in ('xgboost', 'lightgbm')").withColumn("roc_auc", F.col("roc_auc") + 0.125)
+    folders = [shared_path(spark, "run") for _ in range(2)]
+    for path, rows in zip(folders, (whole, again)):
+        rows.write.parquet(f"{path}/comparison")
+    return runs.comparisons(spark, folders)
+
+
+@query
+def j12_improvement(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import runs
+
+    whole = made_comparison(spark, sf)
+    return runs.improvement(whole.where("strategy <> 'smote'").withColumn("log_loss", F.col("log_loss") / 2), whole)

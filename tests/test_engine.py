@@ -81,7 +81,7 @@ EVENTS = [
 def test_features_wide_table_and_labels(spark):
     clean = cleaning.clean_rows(raw(spark, EVENTS))
     tables = {k: t.persist() for k, t in features.feature_tables(clean, WINDOWS).items()}
-    wide.check_wide_inputs(tables)
+    wide.check_wide_inputs(tables, WINDOWS)
     table = wide.wide_table(tables).persist()
     assert table.count() == 6 and len(table.columns) == 64
     wide.wide_gate(table, 6)
@@ -96,6 +96,10 @@ def test_features_wide_table_and_labels(spark):
     broken = dict(tables, category_behavior=tables["category_behavior"].withColumn("history_end", F.date_add("history_end", 1)))
     with pytest.raises(ContractError, match="inconsistent history_end"):
         wide.check_wide_inputs(broken)
+    with pytest.raises(ContractError, match="category_behavior: .*of another window"):
+        wide.check_wide_inputs(broken, WINDOWS)
+    with pytest.raises(ContractError, match="test: 0 rows"):
+        wide.need_windows(tables["user_basic"].where("dataset_split <> 'test'"), WINDOWS, "user_basic")
     with pytest.raises(ContractError):
         wide.wide_gate(table, 7)
 
