@@ -17,7 +17,11 @@ def chance_order(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", *(p.cast("string") for p in parts)).cast("binary"))
 
 
-def numbered(df: DataFrame, order: Column, name: str, *, digits: int = 3) -> DataFrame:
+#: Rows that are sorted together, about.
+TOGETHER = 50_000
+
+
+def numbered(df: DataFrame, order: Column, name: str, *, digits: int = 4) -> DataFrame:
     """Adds the place (from 0) of each row in the order of a text column, such as a digest.
 
     Rows are counted by the first characters; only rows that share them are sorted together.
@@ -28,3 +32,20 @@ def numbered(df: DataFrame, order: Column, name: str, *, digits: int = 3) -> Dat
     starts = rows.groupBy("_head").agg(F.count("*").alias("_n")).select("_head", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))  # 16**digits rows at most
     within = F.row_number().over(Window.partitionBy("_head").orderBy("_order"))
     return rows.join(F.broadcast(starts), "_head").withColumn(name, F.col("_start") + within - 1).drop("_order", "_head", "_start")
+
+
+def first_of(df: DataFrame, order: Column, n: int, rows: int) -> DataFrame:
+    """The first n of df's rows (their number is rows) in the order of a digest.
+
+    Only rows below a bound are numbered, under which n are expected with a margin; where it holds fewer, as it may
+    if rows repeat, all are.
+    """
+    share = (n + 8 * n**0.5 + 64) / max(1, rows)
+    digits = 3
+    while 16**digits * TOGETHER < rows:
+        digits += 1
+    if share < 1:
+        below = df.where(order < f"{int(share * 2**32):08x}")
+        if below.count() >= n:
+            return numbered(below, order, "_place", digits=digits).where(F.col("_place") < n).drop("_place")
+    return numbered(df, order, "_place", digits=min(digits, 5)).where(F.col("_place") < n).drop("_place")

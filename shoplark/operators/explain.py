@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ordering import chance_order, numbered
+from ..functions.ordering import chance_order, first_of
 
 SAMPLE = 10_000
 
@@ -26,10 +26,9 @@ def importances(model: PipelineModel, features: Sequence[str], n: int = 10) -> D
 
 def explanation_sample(df: DataFrame, rows: int = SAMPLE, seed: int = 42) -> DataFrame:
     """All positives, and negatives in the order of an md5 of seed and ids until there are rows of them."""
-    positives = df.where("label = 1")
-    left = max(0, rows - positives.count())
-    negatives = numbered(df.where("label = 0"), chance_order(F.lit(seed), F.col("user_id"), F.col("item_id")), "_place")
-    return positives.unionByName(negatives.where(F.col("_place") < left).drop("_place"))
+    sizes = df.agg(F.count_if(F.col("label") == 1).alias("positives"), F.count_if(F.col("label") == 0).alias("negatives")).first()
+    left = max(0, rows - sizes.positives)
+    return df.where("label = 1").unionByName(first_of(df.where("label = 0"), chance_order(F.lit(seed), F.col("user_id"), F.col("item_id")), left, sizes.negatives))
 
 
 def flat_trees(model: PipelineModel) -> list[tuple[float, dict[str, np.ndarray]]]:

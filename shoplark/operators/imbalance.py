@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..contracts import ContractError
-from ..functions.ordering import chance, chance_order, numbered
+from ..functions.ordering import chance, chance_order, first_of, numbered
 from .preprocess import IDS
 
 SEED = 42
@@ -56,8 +56,8 @@ def row_key(df: DataFrame, seed: int, *more: object) -> list:
 
 def undersampled(train: DataFrame, *, seed: int = SEED) -> DataFrame:
     """All positives and as many negatives, those first in the order of an md5 of seed and ids."""
-    positives, _ = check_balance(train)
-    chosen = numbered(train.where("label = 0"), chance_order(*row_key(train, seed)), "_place").where(F.col("_place") < positives).drop("_place")
+    positives, negatives = check_balance(train)
+    chosen = first_of(train.where("label = 0"), chance_order(*row_key(train, seed)), positives, negatives)
     return train.where("label = 1").unionByName(chosen).withColumn("is_synthetic", F.lit(False))
 
 

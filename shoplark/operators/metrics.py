@@ -2,23 +2,40 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 GRID = tuple(round(0.05 * i, 2) for i in range(1, 20))
-#: Score ranges within which running totals are made; ranges themselves are summed on few rows.
-RANGES = 1024
+#: Score ranges within which running totals are made are cut twice into as many; ranges themselves are summed on few rows.
+CUTS = 32
 CLIP = 1e-15
 
 
+def score_range(scored: DataFrame) -> Column:
+    """The number of the range of score, higher for higher scores; ranges hold about as many rows, however skewed scores are.
+
+    The bounds are at most 1,023 numbers on the driver: coarse ones, and the finer ones between them.
+    """
+    bounds = scored.approxQuantile("score", [i / CUTS**2 for i in range(1, CUTS**2)], 1 / CUTS**2 / 4)
+    if not bounds:
+        return F.lit(0).cast("long")
+    coarse, fine = bounds[CUTS - 1 :: CUTS], [bounds[i : i + CUTS - 1] for i in range(0, len(bounds), CUTS)]
+    reached = lambda array: F.size(F.filter(array, lambda x: x <= F.col("score")))
+    step = reached(F.from_json(F.lit(json.dumps(coarse)), "array<double>"))
+    return (step * CUTS + reached(F.get(F.from_json(F.lit(json.dumps(fine)), "array<array<double>>"), step))).cast("long")
+
+
 def curve(scored: DataFrame) -> DataFrame:
     """score, pos, neg, tp, fp (rows with at least that score), positives, negatives of every distinct score.
 
     Running totals are made in two steps, within ranges of scores and over the ranges, so no task sorts all scores.
+    The bounds of the ranges are a pass of its own over the scores, so scored should be a stored table.
     """
     by = scored.groupBy("score").agg(F.sum(F.col("label").cast("long")).alias("pos"), F.sum((1 - F.col("label")).cast("long")).alias("neg"))
-    by = by.withColumn("range", F.floor(F.col("score") * RANGES).cast("long"))
+    by = by.withColumn("range", score_range(scored))
     sums = by.groupBy("range").agg(F.sum("pos").alias("range_pos"), F.sum("neg").alias("range_neg"))
     above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shoplark.cli import main
 from shoplark.contracts import CLEAN_COLUMNS, RAW_COLUMNS, ContractError, check_windows, need_features, windows_of
+from shoplark.functions import ordering
 from shoplark.operators import cleaning, dashboard, eda, explain, features, imbalance, inference, labels, metrics, models, preprocess, quality, runs, screening, wide
 from shoplark.plans.windows import in_windows
 from shoplark.sources import files
@@ -208,6 +209,34 @@ def test_metrics_against_definitions(spark):
     assert metrics.confusion(df.where("label = 0"), 2.0).first().precision == 0.0
 
 
+def test_skewed_scores_fall_into_even_ranges(spark):
+    rng = np.random.default_rng(2)
+    p = np.concatenate([rng.random(4000) ** 9 * 1e-3, rng.random(50), np.full(900, 0.25)])
+    y = (rng.random(len(p)) < 0.1 + 0.5 * (p > 1e-4)).astype(int)
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, p)], "label int, score double").persist()
+    sizes = df.where("score <> 0.25").withColumn("range", metrics.score_range(df)).groupBy("range").agg(F.count_distinct("score").alias("n"), F.min("score").alias("low"), F.max("score").alias("high")).orderBy("range").collect()
+    assert max(r.n for r in sizes) < 30 and all(a.high < b.low for a, b in zip(sizes, sizes[1:]))
+    for r in metrics.curve(df).collect():
+        assert (r.tp, r.fp) == (int(((p >= r.score) & (y == 1)).sum()), int(((p >= r.score) & (y == 0)).sum()))
+    assert metrics.curve(df.where("score > 2")).collect() == []
+
+
+@pytest.mark.parametrize("n", [0, 1, 40, 900, 5000])
+def test_the_first_by_digest_are_those_of_a_sort(spark, n):
+    order = ordering.chance_order(F.lit(7), F.col("id"))
+    df = spark.range(5000)
+    want = {r.id for r in df.orderBy(order).limit(n).collect()}
+    assert {r.id for r in ordering.first_of(df, order, n, 5000).collect()} == want
+
+
+def test_the_first_by_digest_of_repeated_rows(spark):
+    """All have one digest that no low bound lets through."""
+    df = spark.range(3000).select(F.lit(5).alias("id"))
+    order = ordering.chance_order(F.lit(1), F.col("id"))
+    assert df.select(order.alias("o")).first().o > "1"
+    assert ordering.first_of(df, order, 10, 3000).count() == 10
+
+
 def test_models_stack_attributions_and_inference(spark, tmp_path):
     train, names = train_frame(spark).persist(), ["a", "b", "kind_code"]
     validation = train_frame(spark, 200, 9)
