@@ -235,7 +235,7 @@ ORACLES |= {
     "v6_broken_clean_rows": sql("clean", "SELECT CAST(0 AS BIGINT) AS bad_time, CAST(0 AS BIGINT) AS bad_user_id, CAST(0 AS BIGINT) AS bad_item_id, count(*) FILTER (WHERE user_id % 17 = 0) AS bad_category_id, count(*) FILTER (WHERE user_id % 7 = 0) AS bad_behavior_date, count(*) FILTER (WHERE item_id % 13 = 0) AS bad_behavior_name, count(*) FILTER (WHERE item_id % 5 = 0) AS bad_behavior_hour, count(*) FILTER (WHERE user_id % 11 = 0) AS bad_weekday FROM clean"),
     "v8_wrong_windows": sql("ub", "SELECT s AS dataset_split, count(user_id) AS rows, count(user_id) FILTER (WHERE s = 'validation' AND user_id % 5 = 0) AS wrong_rows FROM (VALUES ('train'), ('validation'), ('test')) t(s) LEFT JOIN ub ON dataset_split = s AND s <> 'test' GROUP BY 1"),
     "v10_disagreements": sql("ub", 'SELECT count(*) FILTER (WHERE user_id % 9 = 0) AS "inconsistent event_count", CAST(0 AS BIGINT) AS "inconsistent history_start", CAST(0 AS BIGINT) AS "inconsistent history_end", count(*) FILTER (WHERE user_id % 4 = 0) AS "inconsistent label_date" FROM ub'),
-    "j5_uncovered_items": sql("ib", "SELECT dataset_split, item_id, CASE WHEN item_id % 7 = 0 THEN 'right' ELSE 'left' END AS side FROM ib WHERE (item_id % 7 = 0) <> (item_id % 5 = 0)"),
+    "j5_uncovered_pairs": sql("hist", "SELECT dataset_split, user_id, item_id, CASE WHEN bool_or(behavior_name = 'cart') THEN 'left' ELSE 'right' END AS side FROM hist WHERE behavior_name IN ('cart', 'buy') GROUP BY 1, 2, 3 HAVING count(DISTINCT behavior_name) = 1"),
     "v12_gate_metrics": sql("wide", "SELECT * FROM (SELECT unnest(['rows', 'null_buy_per_pv', 'null_buy_per_fav', 'null_buy_per_cart']) AS metric, unnest([count(*), count(*) - count(buy_per_pv), count(*) - count(buy_per_fav), count(*) - count(buy_per_cart)]) AS value FROM wide) WHERE value > 0"),
     "pp1_feature_roles": f"SELECT * FROM (VALUES {_role_rows}) t(field, role)",
     "d8_intermediate_inventory": sql("hist", " UNION ALL ".join((_groups("user", "user_id", 15), _groups("item", "item_id", 15), _groups("category", "category_id", 13), _groups("time", "behavior_date, behavior_hour", 14)))),

@@ -540,8 +540,8 @@ def s18_behavior_table(spark: SparkSession, sf: str) -> DataFrame:
     try:
         rows = raw(spark, sf).where("behavior_type <> '9'")
         typed = rows.select("time", *(F.col(c).cast("bigint").alias(c) for c in RAW_COLUMNS[1:4]), F.col("behavior_type").cast("tinyint").alias("behavior_type"))
-        for part in (0, 1):
-            files.append_behavior(typed.where(F.col("user_id") % 2 == part), name)
+        for part in ("behavior_type = 4", "behavior_type <> 4"):
+            files.append_behavior(typed.where(part), name)
         return stored(spark.table(name), "behavior")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -577,9 +577,12 @@ def v10_disagreements(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def j5_uncovered_items(spark: SparkSession, sf: str) -> DataFrame:
-    items = features.item_behavior(history(spark, sf))
-    return wide.uncovered(items.where("item_id % 7 <> 0"), features.conversion_chain(items).where("item_id % 5 <> 0"), ["dataset_split", "item_id"])
+def j5_uncovered_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of user and item that were put in the cart but not bought (left), and the other way round (right)."""
+    rows = history(spark, sf)
+    of = lambda name: rows.where(F.col("behavior_name") == name).select(*key).distinct()
+    key = ["dataset_split", "user_id", "item_id"]
+    return wide.uncovered(of("cart"), of("buy"), key)
 
 
 @query
